@@ -4,7 +4,8 @@
    adds every passage (a run of ``PASSAGE`` words) to a random column, with a random sign,
    of a words x ``SKETCH`` matrix: a sparse random projection of the passages. Scaled by
    inverse document frequency it is the range sketch of a randomised SVD of the TF-IDF
-   passages; its leading left singular vectors span the latent space.
+   passages; its leading left singular vectors, without the first ``COMMON`` (what all
+   passages of a language share) and scaled to equal variance, span the latent space.
 2. A word's latent vector is its row of that basis times its weight, a run of words is
    the sum of its words. Windows of about each benchmark item's length slide over every
    text; those whose cosine with an item reaches ``cosine`` are candidates.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from loomwork.llm.kernels import Words, mix, pieces
 from loomwork.llm.sums import dense_sum
 
-BINS, SKETCH, RANK, PASSAGE, STEP, ANSWER = 1 << 12, 192, 64, 64, 4, 5
+BINS, SKETCH, RANK, COMMON, PASSAGE, STEP, ANSWER = 1 << 12, 192, 32, 24, 64, 4, 5
 
 
 def _words(col: pa.Array) -> tuple[Words, np.ndarray]:
@@ -70,9 +71,9 @@ def sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     idf = np.maximum(0.0, np.log((n + 1) / (df + 1)))
     z = idf[:, None] * total[:, :SKETCH].astype(np.float64)
     values, right = np.linalg.eigh(z.T @ z)
-    lead = np.argsort(-values)[:RANK]
-    basis = z @ right[:, lead] / np.sqrt(np.maximum(values[lead], 1e-9))
-    return (idf[:, None] * basis).astype(np.float32), df
+    lead = np.argsort(-values)[COMMON : COMMON + RANK]
+    basis = z @ right[:, lead] / np.maximum(values[lead], 1e-9)  # singular vectors over singular values
+    return (idf[:, None] * basis * np.sqrt(max(values.max(), 1e-9))).astype(np.float32), df
 
 
 @dataclass
@@ -99,10 +100,10 @@ class Finder:
 
     @staticmethod
     def _class(size: int) -> int:
-        """Window length in steps: 2, 3, 4, 5, 6, 8, 10, 12, 15, ..."""
+        """Window length in steps: 2, 3, 4, 6, 9, 13, 19, 28, ..."""
         n = 2
-        while n * STEP * 1.12 < size:
-            n = max(n + 1, int(n * 1.25))
+        while n * STEP * 1.2 < size:
+            n = max(n + 1, round(n * 1.45))
         return n
 
     def candidates(self, f: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -114,8 +115,8 @@ class Finder:
         sums = v.reshape(-1, STEP, v.shape[1]).sum(axis=1)
         for n, items in self.classes.items():
             run = np.concatenate([np.zeros((1, v.shape[1]), np.float32), np.cumsum(np.concatenate([sums, np.zeros((n, v.shape[1]), np.float32)]), axis=0, dtype=np.float32)])
-            step = 1 if n <= 8 else 2
-            win = (run[n:] - run[:-n])[: len(sums) : step]
+            step = max(1, n // 3)
+            win = run[n::step][: -(-len(sums) // step)] - run[:-n:step][: -(-len(sums) // step)]
             near = win @ self.vec[items].T
             size = np.sqrt(np.einsum("ij,ij->i", win, win))
             at, which = np.nonzero(near >= self.cosine * np.maximum(size, 1e-6)[:, None])
@@ -143,17 +144,19 @@ class Finder:
             return out
         for length, starts, items in self.candidates(f):
             slack = max(STEP * 2, length // 4)
-            for s, i in zip(starts.tolist(), items.tolist(), strict=True):
-                for d in {int(np.searchsorted(words.first, p, "right")) - 1 for p in (s, min(s + length, len(f)) - 1)}:
-                    if out.get((d, i), (0,))[0] >= 1:
-                        continue
-                    a, b = max(words.first[d], s - slack), min(words.first[d + 1], s + length + slack)
-                    if (hit := self.check(i, words.hash[a:b].tolist())) and hit[0] > out.get((d, i), (0,))[0]:
-                        out[d, i] = hit
+            owner = lambda p: np.searchsorted(words.first, np.minimum(p, len(f) - 1), "right") - 1
+            left, right = owner(starts), owner(starts + length - 1)
+            two = right != left
+            doc, at, item = np.concatenate([left, right[two]]), np.concatenate([starts, starts[two]]), np.concatenate([items, items[two]])
+            a, b = np.maximum(words.first[doc], at - slack), np.minimum(words.first[doc + 1], at + length + slack)
+            for d, i, lo, hi in zip(doc.tolist(), item.tolist(), a.tolist(), b.tolist(), strict=True):
+                best = out.get((d, i), (0,))[0]
+                if best < 1 and (hit := self.check(i, words.hash[lo:hi].tolist())) and hit[0] > best:
+                    out[d, i] = hit
         return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.7, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
     """``doc_id, item_id, share, kind`` of every document and benchmark item found in it.
 
     Items are taken in blocks of ``block_items`` (a proven bound for what is sent to the

@@ -10,7 +10,9 @@ none of these bigrams are left out before they are cut up. Everything is row-loc
 
 from __future__ import annotations
 
+from functools import reduce
 from math import floor
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +62,15 @@ def needed(templates: dict[str, str], least: float) -> list[str]:
     return sorted(set(out))
 
 
+def marks(grams: list[str]) -> list[str]:
+    """Words of which a text with any of these bigrams holds at least one; a cheap first test."""
+    out: list[str] = []
+    for gram in grams:
+        if not any(m in w for w in gram.split() for m in out):
+            out.append(max(gram.split(), key=len))
+    return out
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """``doc_id, license, dice, sentences`` of every licence found in every text.
 
@@ -70,8 +81,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     """
     sized = {k: bigrams_of(t) for k, t in templates.items()}
     sized = {k: g for k, g in sized.items() if g}
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    rows = rows.withColumn("plain", _plain(F.col("text"))).where(F.col("plain").rlike("|".join(needed({k: templates[k] for k in sized}, least))))
+    grams_needed = needed({k: templates[k] for k in sized}, least)
+    marked = reduce(or_, [F.contains(F.lower("text"), F.lit(m)) for m in marks(grams_needed)])
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).where(marked).where(_plain(F.col("text")).rlike("|".join(grams_needed)))
     sentence = F.explode(F.split(F.regexp_replace("text", CUT, "$1\n"), "\n"))
     words = rows.select("doc_id", sentence.alias("sentence")).select("doc_id", F.split(_plain(F.col("sentence")), " ").alias("w"))
     low, high = min(map(len, sized.values())), max(map(len, sized.values()))
@@ -94,6 +106,6 @@ def oracle(templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> str:
         WITH known(license, has) AS (VALUES {rows}),
         sentence AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))) AS s FROM documents WHERE text IS NOT NULL),
         word AS (SELECT doc_id, string_split(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM sentence),
-        gram AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM word WHERE len(w) BETWEEN 2 AND 4000),
-        scored AS (SELECT doc_id, license, 2.0 * len(list_intersect(g, has)) / (len(g) + len(has)) AS dice FROM gram, known WHERE len(g) <= 40)
+        gram AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM word WHERE len(w) >= 2),
+        scored AS (SELECT doc_id, license, 2.0 * len(list_intersect(g, has)) / (len(g) + len(has)) AS dice FROM gram, known)
         SELECT doc_id, license, round(max(dice), 6) AS dice, count(*) AS sentences FROM scored WHERE dice >= {least} - 1e-9 GROUP BY doc_id, license"""

@@ -181,7 +181,7 @@ def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recal
     """``doc_id, class_id, n_repeats, n_removed, removed_words, spans`` of every document with a repeated paragraph.
 
     class_id: the smallest doc_id that holds one of its repeated paragraphs first;
-    n_repeats: its paragraphs that occur elsewhere; n_removed: those of which an earlier
+    n_repeats: its paragraphs that occur in other documents too; n_removed: those of which an earlier
     place (by doc_id, then word) is kept; spans: the word ranges "start:end" to remove,
     merged. Null and empty texts have no paragraphs; rows without doc_id are left out; rows
     that share a doc_id are one document, and equal texts among them repeat nothing; an empty table
@@ -196,7 +196,7 @@ def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recal
     links = cut(near_lines(distinct, slim, min_words, similarity))
     label = components(links).withColumnRenamed("node", "h")
     groups = cut(seen.join(label, "h", "left").select(F.coalesce("component", "h").alias("c"), "h", "doc_id", "at", "size")) if links.take(1) else seen.select(F.col("h").alias("c"), "h", "doc_id", "at", "size")
-    classes = groups.groupBy("c").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    classes = groups.groupBy("c").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id <> last")
     hit = groups.join(classes, "c").select("doc_id", "at", "size", F.col("first.doc_id").alias("class_id"), (place != F.col("first")).alias("gone")).distinct()
     spans = F.array_sort(F.collect_set(F.when(F.col("gone"), F.struct(F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e")))))
     per = hit.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n_repeats"), F.count_if("gone").alias("n_removed"), spans.alias("spans"))
