@@ -41,6 +41,22 @@ HEAD = struct.Struct("<4sIQII")
 _RUN = re.compile(r"\s[ \n]")
 
 
+#: Marks that no pattern of the vocabularies joins with letters before them.
+_TAIL = ".,;:!?*&%$#|)"
+
+
+class _Table(dict):
+    """Numbers keys in the order they come; ``new``: those numbered since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
 class Encoder:
     """Ids of whole texts by a ``tokenizers`` file; special tokens' strings are ordinary text.
 
@@ -48,7 +64,7 @@ class Encoder:
     ``room``: pieces kept before the table is begun anew, which bounds memory.
     """
 
-    def __init__(self, path: str, room: int = 900_000):
+    def __init__(self, path: str, room: int = 1_300_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -61,41 +77,64 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts, self.used, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0, 0
-
-    def _learn(self, new: list[str]) -> None:
-        for e, piece in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
-            ids = e.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if self.count + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[piece] = self.count
-            self.count += 1
-            self.starts[self.count] = self.used
+        self.known, self.tails = _Table(), {}
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _put(self, at: int, ids: list[int] | np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[at], self.size[at] = self.used, len(ids)
+        self.used += len(ids)
+
+    def _learn(self) -> None:
+        """Ids of all new keys. Letters and a tail of marks are tokens apart, so their ids are put together."""
+        known, alone, joined = self.known, [], []
+        for key in known.new:  # grows while it is read
+            core = key.rstrip(_TAIL)
+            if core != key and core.lstrip(" \n").isalpha():
+                joined.append((known[key], known[core], key[len(core) :]))
+            else:
+                alone.append(key)
+        known.new = []
+        while len(known) > len(self.begin):
+            self.begin, self.size = np.concatenate([self.begin, np.zeros_like(self.begin)]), np.concatenate([self.size, np.zeros_like(self.size)])
+        for at in range(0, len(alone), 20_000):
+            keys = alone[at : at + 20_000]
+            for e, key in zip(self.tokenizer.encode_batch_fast(list(map(self._text, keys)), add_special_tokens=False), keys, strict=True):
+                self._put(known[key], e.ids)
+        for at, core, tail in joined:
+            if tail not in self.tails:
+                self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+            b = self.begin[core]
+            self._put(at, [*self.flat[b : b + self.size[core]].tolist(), *self.tails[tail]])
 
     def _cut(self, text: str) -> list[str]:
-        if _RUN.search(text):
-            return [text]
+        """Keys of a text's pieces: a piece after a blank goes without it, one that begins a text after one."""
         if not self.blanks:
             return text.replace("\n", " ").split(" ")
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[p if p[:1] == "\n" else " " + p for p in rest]]
+        if _RUN.search(text):
+            return [" " + text]
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = " " + keys[0]
+        return keys
+
+    def _text(self, key: str) -> str:
+        if not self.blanks or key[:1] == "\n":
+            return key
+        return key[1:] if key[:1] == " " else " " + key
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another (uint32), and the number of ids of each text."""
         cuts = [self._cut(t or "") for t in texts]
         flat = [p for c in cuts for p in c]
-        if self.count + len(flat) > 2 * self.room or self.count > self.room:
+        if len(self.known) > self.room:
             self._clear()
-        new = [p for p in dict.fromkeys(flat) if p not in self.known]
-        if new:
-            self._learn(new)
         at = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
-        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        if self.known.new:
+            self._learn()
+        begin, size = self.begin[at], self.size[at]
         end = np.cumsum(size)
         ids = self.flat[np.repeat(begin - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
         bounds = np.cumsum([0, *map(len, cuts)])
