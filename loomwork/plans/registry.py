@@ -1,11 +1,389 @@
-"""All registered queries over the reference tables, with their SQL."""
+"""All registered queries over the driver's tables, with their SQL.
+
+The tables hold no places, so a deterministic place view is made from ``customer``.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomwork.functions import cleaning as C
+from loomwork.functions import similarity as S
+from loomwork.functions.kernels import udfs
+from loomwork.operators import clustering, features, graph, metrics, pairs, places, scoring
+from loomwork.session import read
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
+
+
+def place_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return read(spark, sf_dir, "customer").select(
+        k.alias("Id"), F.concat(F.lit("p"), k.cast("string")).alias("placeId"), F.concat(F.lit("c"), (k % 700).cast("string")).alias("clusterId"),
+        F.concat(F.lower("c_mktsegment"), F.lit(" shop "), (k % 9).cast("string")).alias("sourceNames"), F.concat(F.lit("main str "), (k % 11).cast("string")).alias("streets"),
+        (F.lit(52.0003) + (k * 37 % 100) / 1000.0).alias("latitude"), (F.lit(4.0003) + (k * 91 % 70) / 1000.0).alias("longitude"), (k % 7).cast("string").alias("houseNumber"),
+        F.array(F.lpad((k * 7919).cast("string"), 10, "0")).alias("phoneNumbers"), F.lower("c_mktsegment").alias("category"),
+        F.when(k % 3 == 0, None).otherwise(F.concat(F.lit("brand "), (k % 5).cast("string"))).alias("brands"), F.when(k % 4 == 0, None).otherwise(F.concat(F.lit("kind "), (k % 6).cast("string"))).alias("subCategory"),
+        F.when(k % 2 == 0, None).otherwise(F.concat(F.lit("shop"), (k % 13).cast("string"))).alias("internet"), F.lit(None).cast("string").alias("email"),
+    )
+
+
+_PLACES = """place AS (SELECT c_custkey AS id, 'p' || c_custkey AS pid, 'c' || (c_custkey % 700) AS label, lower(c_mktsegment) || ' shop ' || (c_custkey % 9) AS name,
+  52.0003::DOUBLE + (c_custkey * 37 % 100) / 1000.0::DOUBLE AS lat, 4.0003::DOUBLE + (c_custkey * 91 % 70) / 1000.0::DOUBLE AS lon, CAST(c_custkey % 7 AS VARCHAR) AS house,
+  lower(c_mktsegment) AS category, CASE WHEN c_custkey % 3 <> 0 THEN 'brand ' || (c_custkey % 5) END AS brand FROM customer)"""
+_KM = """2 * 6371.0 * atan2(sqrt(H), sqrt(1 - H))""".replace("H", "(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))")
+_HOUSE = "house AS (SELECT a.id AS l, b.id AS r, a.pid AS lp, b.pid AS rp FROM place a JOIN place b ON a.id < b.id AND a.house = b.house AND round_even(a.lat * 100, 0) = round_even(b.lat * 100, 0) AND round_even(a.lon * 100, 0) = round_even(b.lon * 100, 0))"
+
+
+# duplicates, groups and pairs
+
+
+@_query("SELECT text AS key_text, list_sort(list(doc_id)) AS members, count(*) AS new_len FROM documents GROUP BY text HAVING count(*) > 1")
+def exact_duplicates(spark, d):
+    return places.exact_duplicates(read(spark, d, "documents").withColumnRenamed("text", "key_text"), ["key_text"], "doc_id")
+
+
+@_query("SELECT arg_min(doc_id, doc_id) AS doc_id, text, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
+def exact_dedup(spark, d):
+    return places.exact_dedup(read(spark, d, "documents").select("doc_id", "text", "source"), ["text"], "doc_id")
+
+
+@_query("SELECT max(n) AS largest FROM (SELECT count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1)")
+def largest_duplicate_group(spark, d):
+    return exact_duplicates(spark, d).agg(F.max("new_len").alias("largest"))
+
+
+@_query("SELECT DISTINCT a.c_custkey AS ltable_id, b.c_custkey AS rtable_id FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey")
+def pairs_from_groups(spark, d):
+    return pairs.pairs_in_groups(read(spark, d, "customer"), ["c_nationkey", "c_mktsegment"], "c_custkey")
+
+
+@_query(f"WITH {_PLACES} SELECT a.id AS ltable_id, b.id AS rtable_id, a.pid AS placeId1, b.pid AS placeId2 FROM place a JOIN place b ON a.label = b.label AND a.id < b.id")
+def golden_pairs(spark, d):
+    return pairs.golden_pairs(place_view(spark, d))
+
+
+# blocks
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE} SELECT l AS ltable_id, r AS rtable_id FROM house")
+def grid_block_house(spark, d):
+    return pairs.block_house(place_view(spark, d))
+
+
+@_query()
+def phone_block_lcs(spark, d):
+    return pairs.block_phone(place_view(spark, d), digits=8)
+
+
+@_query("WITH n AS (SELECT p_name AS name, row_number() OVER (ORDER BY p_name) AS id FROM (SELECT DISTINCT p_name FROM part)) SELECT a.id AS ltable_id, b.id AS rtable_id FROM n a JOIN n b ON a.id < b.id AND jaro_similarity(a.name, b.name) > 0.7")
+def name_block_jaro(spark, d):
+    names = places.surrogate_ids(read(spark, d, "part").select(F.col("p_name").alias("sourceNames")).distinct(), ["sourceNames"]).withColumn("Id", F.col("Id") + 1)
+    return pairs.block_name(names.withColumns({"latitude": F.lit(52.0), "longitude": F.lit(4.0)}))
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE}, golden AS (SELECT a.id AS l, b.id AS r FROM place a JOIN place b ON a.label = b.label AND a.id < b.id), u AS (SELECT l, r FROM house UNION SELECT l, r FROM golden) SELECT l AS ltable_id, r AS rtable_id, a.pid AS placeId1, b.pid AS placeId2 FROM u JOIN place a ON a.id = l JOIN place b ON b.id = r WHERE {_KM} <= 1")
+def combine_blocks_1km(spark, d):
+    view = place_view(spark, d)
+    return pairs.combine_blocks([pairs.block_house(view), pairs.golden_pairs(view)], view)
+
+
+_KNN = "SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, neighbour) AS rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a, embeddings b)"
+
+
+@_query(f"SELECT id, neighbour, score, rank FROM ({_KNN}) WHERE rank <= 30")
+def knn_cosine_topk(spark, d):
+    return pairs.knn(read(spark, d, "embeddings"), 30, "vec_id", "embedding").select("id", "neighbour", "score", "rank")
+
+
+@_query(f"SELECT least(id, neighbour) AS ltable_id, greatest(id, neighbour) AS rtable_id, max(score) AS similarity FROM ({_KNN}) WHERE rank <= 30 AND id <> neighbour GROUP BY ALL")
+def knn_pairs(spark, d):
+    return pairs.knn_pairs(pairs.knn(read(spark, d, "embeddings"), 30, "vec_id", "embedding"))
+
+
+@_query("SELECT a.vec_id AS ltable_id, b.vec_id AS rtable_id, round_even(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 3) AS similarity FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def pair_cosine(spark, d):
+    e = read(spark, d, "embeddings").select(F.col("vec_id").alias("Id"), F.col("embedding").alias("vector"))
+    both = e.select(F.col("Id").alias("ltable_id"), F.col("vector").alias("a")).join(e.select((F.col("Id") - 1).alias("ltable_id"), F.col("vector").alias("b")), "ltable_id")
+    return both.select("ltable_id", (F.col("ltable_id") + 1).alias("rtable_id"), S.fast_cosine(F.col("a"), F.col("b")).alias("similarity"))
+
+
+# cleaning
+
+_CLEAN = "trim(regexp_replace(translate(regexp_replace(lower(X), '\\.0$', ''), '" + C.SYMBOLS.replace("'", "''").replace("\n", "") + "' || chr(10), '" + " " * len(C.SYMBOLS) + "'), ' +', ' ', 'g'))"
+
+
+def _steps_sql(expr: str, steps: list[tuple[int, str, str]]) -> str:
+    table = ", ".join(f"{{'k': {k}, 'w': '{w}', 'r': '{r}'}}" for k, w, r in steps)
+    return f"""list_reduce([{table}], lambda acc, x: {{'k': 0, 'r': '', 'w': CASE
+      WHEN x.k = 0 THEN replace(acc.w, ' ' || x.w || ' ', CASE WHEN x.r = '' THEN ' ' ELSE ' ' || x.r || ' ' END)
+      WHEN x.k = 1 AND starts_with(acc.w, x.w || ' ') THEN CASE WHEN x.r = '' THEN substr(acc.w, length(x.w) + 2) ELSE replace(acc.w, x.w || ' ', x.r || ' ') END
+      WHEN x.k = 2 AND ends_with(acc.w, ' ' || x.w) THEN CASE WHEN x.r = '' THEN left(acc.w, length(acc.w) - length(x.w) - 1) ELSE replace(acc.w, ' ' || x.w, ' ' || x.r) END
+      ELSE acc.w END}}, {{'k': 0, 'w': {expr}, 'r': ''}}).w"""
+
+
+@_query("SELECT c_custkey, " + _CLEAN.replace("X", "c_name || ' (No. ' || c_acctbal || ') & Co.0'") + " AS cleaned FROM customer")
+def clean_text(spark, d):
+    raw = F.concat(F.col("c_name"), F.lit(" (No. "), F.col("c_acctbal").cast("string"), F.lit(") & Co.0"))
+    return read(spark, d, "customer").select("c_custkey", C.clean_text(raw).alias("cleaned"))
+
+
+_PHRASE = "'the ' || p_name || ' mt str ' || p_type || ' of st'"
+
+
+def _phrase():
+    return F.concat(F.lit("the "), F.col("p_name"), F.lit(" mt str "), F.col("p_type"), F.lit(" of st"))
+
+
+@_query(f"SELECT p_partkey, {_steps_sql(_PHRASE, [(k, w, '') for w in C.STOP_WORDS for k in (0, 1, 2)])} AS cleaned FROM part")
+def remove_stop_words(spark, d):
+    return read(spark, d, "part").select("p_partkey", C.remove_words(_phrase()).alias("cleaned"))
+
+
+@_query(f"SELECT p_partkey, {_steps_sql(_PHRASE, [(k, w, g[0]) for g in C.NAME_WORDS for w in g[1:] for k in (0, 1, 2)])} AS cleaned FROM part")
+def clean_names(spark, d):
+    return read(spark, d, "part").select("p_partkey", C.clean_name(_phrase()).alias("cleaned"))
+
+
+@_query(f"SELECT p_partkey, {_steps_sql(_PHRASE, [(k, w, g[0]) for g in C.STREET_WORDS for w in g[1:] for k in (0, 1, 2)])} AS cleaned FROM part")
+def clean_streets(spark, d):
+    return read(spark, d, "part").select("p_partkey", C.clean_streets(_phrase()).alias("cleaned"))
+
+
+@_query("SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(url), '[?&](?:" + "|".join(C.TRACKING) + ")=[^&#]*', '', 'g'), '^(?i:http://)', ''), '^(?i:https://)', ''), '^www\\.', ''), '/$', ''), '" + C.URL_PARTS + "', '', 'g') AS canonical FROM pages")
+def canonical_url(spark, d):
+    return read(spark, d, "pages").select("page_id", "url", C.canonical_url(F.col("url")).alias("canonical"))
+
+
+@_query("SELECT c_custkey, lpad(right(regexp_replace(c_name || c_acctbal::VARCHAR, '\\D', '', 'g'), 10), 10, '0') AS digits, nullif(regexp_extract(c_name, '(\\d+)', 1), '') AS first_number FROM customer")
+def extract_digits(spark, d):
+    both = F.concat("c_name", F.col("c_acctbal").cast("string"))
+    return read(spark, d, "customer").select("c_custkey", C.extract_digits(both).alias("digits"), C.first_number(F.col("c_name")).alias("first_number"))
+
+
+@_query()
+def unique_tokens(spark, d):
+    return read(spark, d, "documents").select("doc_id", C.unique_tokens(F.col("text")).alias("tokens"))
+
+
+@_query("SELECT n_nationkey, unnest([n_regionkey, n_regionkey + 1]) AS latitude, unnest([n_name, lower(n_name)]) AS streets FROM nation")
+def zip_explode(spark, d):
+    rows = read(spark, d, "nation").select("n_nationkey", F.array("n_regionkey", F.col("n_regionkey") + 1).alias("latitude"), F.array("n_name", F.lower("n_name")).alias("streets"))
+    return places.zip_explode(places.same_lengths(rows, ["latitude", "streets"]), ["latitude", "streets"])
+
+
+@_query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE n_name || ',' || lower(n_name) END AS chosen FROM nation")
+def latin_select(spark, d):
+    rows = read(spark, d, "nation").select("n_nationkey", F.array("n_name", F.lower("n_name")).alias("v"), F.array(F.when(F.col("n_nationkey") % 2 == 0, "latn").otherwise("cyrl"), F.lit("grek")).alias("s"))
+    return rows.select("n_nationkey", F.array_join(C.latin_select(F.col("v"), F.col("s")), ",").alias("chosen"))
+
+
+@_query("SELECT o AS l_orderkey, t AS category FROM (SELECT l_orderkey AS o, p_type AS t, row_number() OVER (PARTITION BY l_orderkey ORDER BY count(*) DESC, p_type) AS r FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, p_type) WHERE r = 1")
+def category_mode(spark, d):
+    both = read(spark, d, "lineitem").select("l_orderkey", "l_partkey").join(read(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+    return places.most_common(both.groupBy("l_orderkey", "p_type").count(), ["l_orderkey"], "p_type", "category")
+
+
+# measures
+
+_NAMES = "n AS (SELECT p_name AS x, row_number() OVER (ORDER BY p_name) AS i FROM (SELECT DISTINCT p_name FROM part)), pr AS (SELECT a.i AS l, b.i AS r, a.x, b.x AS y FROM n a JOIN n b ON b.i > a.i AND b.i <= a.i + 20)"
+
+
+def _name_pairs(spark, d):
+    n = places.surrogate_ids(read(spark, d, "part").select(F.col("p_name").alias("x")).distinct(), ["x"]).withColumn("i", F.col("Id") + 1)
+    b = n.select(F.col("i").alias("r"), F.col("x").alias("y"))
+    near = n.select(F.col("i").alias("l"), "x", F.explode(F.sequence(F.col("i") + 1, F.col("i") + 20)).alias("r"))
+    return near.join(b, "r").select("l", "r", "x", "y")
+
+
+@_query(f"WITH {_NAMES} SELECT l, r, round(jaro_similarity(x, y), 6) AS jaro, round(jaro_winkler_similarity(x, y), 6) AS jaro_winkler, round(1 - damerau_levenshtein(x, y) / greatest(length(x), length(y)), 6) AS leven FROM pr")
+def jaro_leven(spark, d):
+    u, x, y = udfs(), F.col("x"), F.col("y")
+    return _name_pairs(spark, d).select("l", "r", F.round(u["jaro"](x, y), 6).alias("jaro"), F.round(u["jaro_winkler"](x, y), 6).alias("jaro_winkler"), F.round(u["leven"](x, y), 6).alias("leven"))
+
+
+@_query(f"WITH {_NAMES}, g AS (SELECT l, r, list_distinct([substr(x, k, 2) for k in range(1, length(x))]) AS p, list_distinct([substr(y, k, 2) for k in range(1, length(y))]) AS q FROM pr) SELECT l, r, round(2.0 * len(list_intersect(p, q)) / (len(p) + len(q)), 6) AS dice FROM g")
+def dice_bigram(spark, d):
+    return _name_pairs(spark, d).select("l", "r", F.round(S.dice_bigram(F.col("x"), F.col("y")), 6).alias("dice"))
+
+
+@_query()
+def token_ratios(spark, d):
+    u, x, y = udfs(), F.col("x"), F.col("y")
+    return _name_pairs(spark, d).select("l", "r", *[F.round(u[k](x, y), 6).alias(k) for k in ("lcs", "ratio", "qratio", "token_set_ratio", "wratio")])
+
+
+@_query()
+def davies_phonetic(spark, d):
+    u, x, y = udfs(), F.col("x"), F.col("y")
+    return _name_pairs(spark, d).select("l", "r", F.round(u["sorted_winkler"](x, y), 6).alias("sorted_winkler"), F.round(u["davies"](x, y), 6).alias("davies"), F.round(u["jaro"](F.soundex(x), F.soundex(y)), 6).alias("soundex_jaro"), F.round(u["metaphone_jaro"](x, y), 6).alias("metaphone_jaro"))
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE} SELECT l AS ltable_id, r AS rtable_id, round({_KM}, 6) AS haversine, round(abs(a.lat - b.lat) + abs(a.lon - b.lon), 6) AS manhattan FROM house JOIN place a ON a.id = l JOIN place b ON b.id = r")
+def haversine(spark, d):
+    view = place_view(spark, d)
+    both = pairs.enrich(pairs.block_house(view), view, ["latitude", "longitude"])
+    ends = [F.col(c) for c in ("latitude1", "longitude1", "latitude2", "longitude2")]
+    return both.select("ltable_id", "rtable_id", F.round(S.haversine(*ends), 6).alias("haversine"), F.round(S.manhattan(*ends), 6).alias("manhattan"))
+
+
+@_query(f"""WITH {_PLACES}, {_HOUSE} SELECT l AS ltable_id, r AS rtable_id, CASE WHEN a.house = b.house THEN 1 ELSE 0 END AS house, CAST(a.category = b.category AS INT) AS category,
+  CASE WHEN regexp_extract(a.name, '(\\d+)', 1) = regexp_extract(b.name, '(\\d+)', 1) THEN 1 ELSE 0 END AS number, CASE WHEN a.brand IS NULL AND b.brand IS NULL THEN 3 WHEN a.brand IS NULL OR b.brand IS NULL THEN 2 WHEN a.brand = b.brand THEN 1 ELSE 0 END AS brand
+  FROM house JOIN place a ON a.id = l JOIN place b ON b.id = r""")
+def match_codes(spark, d):
+    view = place_view(spark, d)
+    both = pairs.enrich(pairs.block_house(view), view, ["houseNumber", "category", "sourceNames", "brands"])
+    two = lambda c: (F.col(f"{c}1"), F.col(f"{c}2"))
+    numbers = [C.first_number(c) for c in two("sourceNames")]
+    return both.select("ltable_id", "rtable_id", S.house_match(*two("houseNumber")).alias("house"), S.category_match(*two("category")).alias("category"), S.name_number_match(*numbers).alias("number"), S.brand_match(*two("brands"), F.lit(0.0)).alias("brand"))
+
+
+def _features(spark, d):
+    view = place_view(spark, d)
+    return features.pair_features(pairs.block_house(view), view, "TST")
+
+
+@_query()
+def pair_features(spark, d):
+    return _features(spark, d)
+
+
+@_query()
+def ensemble_score(spark, d):
+    view = place_view(spark, d)
+    vectors = features.hashed_embedding(view, C.embedding_text(F.col("sourceNames"), F.col("streets"), F.col("category")))
+    scored = scoring.ensemble(features.add_similarity(_features(spark, d), vectors), scoring.rule_folds())
+    return scored.select("ltable_id", "rtable_id", "similarity", *[F.round(c, 6).alias(c) for c in (*[f"prediction_{k}_probab" for k in scoring.FAMILIES], "prediction")], "duplicate_flag")
+
+
+@_query()
+def unanimous_votes(spark, d):
+    scored = scoring.ensemble(_features(spark, d), scoring.rule_folds())
+    return scoring.unanimous(scored).select("ltable_id", "rtable_id")
+
+
+# metrics
+
+_TRUTH, _GUESS = "CAST(toxic AS INT)", "(doc_id * 37 % 101) / 101.0::DOUBLE"
+
+
+def _labels(spark, d):
+    return read(spark, d, "labels").select(F.col("toxic").alias("t"), ((F.col("doc_id") * 37 % 101) / 101.0).alias("s"))
+
+
+_SUMS = "count(*) FILTER (t = 1 AND s > k) AS tp, count(*) FILTER (t = 0 AND s > k) AS fp, count(*) FILTER (t = 1 AND s <= k) AS fn, count(*) FILTER (t = 0 AND s <= k) AS tn"
+_RATES = {"precision": "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END", "recall": "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END", "f1": "CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END", "accuracy": "(tp + tn) / (tp + fp + fn + tn)", "fpr": "CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0 END"}
+_RATE_SQL = ", ".join(f"round({v}, 6) AS {k}" for k, v in _RATES.items())
+
+
+@_query(f"WITH x AS (SELECT {_TRUTH} AS t, {_GUESS} AS s, 0.5::DOUBLE AS k FROM labels), c AS (SELECT {_SUMS} FROM x) SELECT tp, fp, fn, tn, {_RATE_SQL} FROM c")
+def binary_metrics(spark, d):
+    out = metrics.binary_metrics(_labels(spark, d), F.col("t"), F.col("s"))
+    return out.select("tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in _RATES])
+
+
+@_query(f"WITH x AS (SELECT {_TRUTH} AS t, {_GUESS} AS s, k / 20.0::DOUBLE AS k FROM labels, range(20) AS q(k)), c AS (SELECT k AS threshold, {_SUMS} FROM x GROUP BY k), e AS (SELECT threshold, {_RATE_SQL} FROM c) SELECT *, recall AS tpr FROM e")
+def threshold_sweep(spark, d):
+    out = metrics.threshold_sweep(_labels(spark, d), F.col("t"), F.col("s"))
+    return out.select("threshold", *[F.round(c, 6).alias(c) for c in (*_RATES, "tpr")])
+
+
+@_query(f"WITH x AS (SELECT {_TRUTH} AS t, {_GUESS} AS s FROM labels), g AS (SELECT s, count(*) FILTER (t = 1) AS p, count(*) FILTER (t = 0) AS n FROM x GROUP BY s), w AS (SELECT p, n, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g) SELECT round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM w")
+def roc_auc(spark, d):
+    return metrics.roc_auc(_labels(spark, d), F.col("t"), F.col("s")).select(F.round("auc", 6).alias("auc"))
+
+
+_GOLD = "golden AS (SELECT a.id AS l, b.id AS r FROM place a JOIN place b ON a.label = b.label AND a.id < b.id)"
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE}, {_GOLD}, h AS (SELECT count(*) AS hits FROM house JOIN golden USING (l, r)) SELECT (SELECT count(*) FROM house) AS candidate_set_length, round((SELECT count(*) FROM house) / (SELECT count(*) FROM place), 6) AS pair_entity_ratio, round(hits / (SELECT count(*) FROM house), 6) AS precision, round(hits / (SELECT count(*) FROM golden), 6) AS recall FROM h")
+def blocking_stats(spark, d):
+    view = place_view(spark, d)
+    out = metrics.blocking_stats(pairs.block_house(view), pairs.golden_pairs(view), view)
+    return out.select("candidate_set_length", *[F.round(c, 6).alias(c) for c in ("pair_entity_ratio", "precision", "recall")])
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE}, {_GOLD}, h AS (SELECT count(*) AS hits FROM house JOIN golden USING (l, r)) SELECT (SELECT count(*) FROM house) AS candidates, round(hits / (SELECT count(*) FROM house), 6) AS precision, round(hits / (SELECT count(*) FROM golden), 6) AS recall FROM h")
+def place_stats(spark, d):
+    view = place_view(spark, d)
+    out = metrics.place_stats(pairs.different_places(pairs.block_house(view), view), pairs.golden_pairs(view))
+    return out.select("candidates", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE}, {_GOLD} SELECT l AS ltable_id, r AS rtable_id FROM golden ANTI JOIN house USING (l, r)")
+def missed_pairs(spark, d):
+    view = place_view(spark, d)
+    return pairs.missing_from(pairs.golden_pairs(view).select(*pairs.IDS), pairs.block_house(view), pairs.IDS)
+
+
+@_query(f"WITH {_PLACES}, {_HOUSE}, {_GOLD} SELECT l AS ltable_id, r AS rtable_id FROM house ANTI JOIN golden USING (l, r)")
+def extra_pairs(spark, d):
+    view = place_view(spark, d)
+    return pairs.missing_from(pairs.block_house(view), pairs.golden_pairs(view), pairs.IDS)
+
+
+@_query(f"""WITH {_PLACES}, {_HOUSE}, m AS (SELECT NOT (levenshtein(a.name, b.name) * 100 / greatest(length(a.name), length(b.name)) <= 50 AND NOT list_has_any(string_split(a.name, ' '), string_split(b.name, ' '))) AS name_match,
+  (coalesce(a.brand, 'UNKwn') = 'UNKwn' OR coalesce(b.brand, 'UNKwn') = 'UNKwn' OR lower(a.brand) = lower(b.brand)) AS brand_match, {_KM} <= 0.5 AS distance_match FROM house JOIN place a ON a.id = l JOIN place b ON b.id = r),
+  c AS (SELECT name_match, brand_match, distance_match, count(*) AS pairs FROM m GROUP BY ALL) SELECT *, round(pairs * 100.0 / (SELECT max(pairs) FROM c WHERE name_match AND brand_match AND distance_match), 6) AS percent FROM c""")
+def rule_crosstab(spark, d):
+    view = place_view(spark, d)
+    both = pairs.enrich(pairs.block_house(view), view, ["sourceNames", "brands", "latitude", "longitude"]).fillna("UNKwn", ["brands1", "brands2"])
+    out = metrics.rule_crosstab(both, S.name_rule(F.col("sourceNames1"), F.col("sourceNames2")), S.brand_rule(F.col("brands1"), F.col("brands2")), S.distance_rule(*[F.col(c) for c in ("latitude1", "longitude1", "latitude2", "longitude2")]))
+    return out.withColumn("percent", F.round("percent", 6))
+
+
+# clusters
+
+
+@_query(f"WITH RECURSIVE {_PLACES}, {_HOUSE}, e AS (SELECT l, r FROM house WHERE (l * 7 + r) % 5 = 0), both_ways AS (SELECT l, r FROM e UNION ALL SELECT r, l FROM e), w AS (SELECT l AS node, l AS seen FROM both_ways UNION SELECT w.node, b.r FROM w JOIN both_ways b ON w.seen = b.l) SELECT node, min(seen) AS component FROM w GROUP BY node")
+def connected_components(spark, d):
+    edges = pairs.block_house(place_view(spark, d)).where((F.col("ltable_id") * 7 + F.col("rtable_id")) % 5 == 0)
+    return graph.components(edges, *pairs.IDS)
+
+
+def _scores(spark, d):
+    view = place_view(spark, d)
+    both = pairs.different_places(pairs.block_house(view), view)
+    return both.withColumn("prediction", ((F.col("ltable_id") * 31 + F.col("rtable_id") * 17) % 100) / 100.0)
+
+
+@_query()
+def agglomerative_clusters(spark, d):
+    return clustering.agglomerate(clustering.best_pairs(_scores(spark, d)))
+
+
+@_query()
+def clusters_with_singletons(spark, d):
+    named = clustering.name_clusters(clustering.agglomerate(clustering.best_pairs(_scores(spark, d))))
+    return clustering.add_singletons(named, place_view(spark, d))
+
+
+@_query("WITH g AS (SELECT text, min(doc_id) AS m, list(doc_id) AS ids FROM documents GROUP BY text HAVING count(*) > 1) SELECT 'd' || unnest(ids) AS \"placeId\", 'x' || m AS \"clusterId\" FROM g UNION SELECT 'd' || doc_id, 'x' || doc_id FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) = 1)")
+def readd_duplicates(spark, d):
+    docs = read(spark, d, "documents").select(F.concat(F.lit("d"), "doc_id").alias("placeId"), "doc_id", "text")
+    groups = places.exact_duplicates(docs, ["text"])
+    kept = docs.groupBy("text").agg(F.min("doc_id").alias("m")).select(F.concat(F.lit("d"), "m").alias("placeId"), F.concat(F.lit("x"), "m").alias("clusterId"))
+    return clustering.readd_duplicates(kept, groups)
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
