@@ -38,6 +38,8 @@ BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0], dtype=n
 BLOCK = 128
 HEAD = struct.Struct("<4sIQII")
 
+#: A blank or line end, then no white space.
+_PLAIN = re.compile(r"[ \n]\S+")
 _RUN = re.compile(r"\s[ \n]")
 
 
@@ -74,6 +76,8 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.room = room
         self.blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
+        size = self.tokenizer.get_vocab_size()
+        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
         self._clear()
 
     def _clear(self) -> None:
@@ -98,18 +102,27 @@ class Encoder:
             else:
                 alone.append(key)
         known.new = []
+        alone.sort(key=lambda k: k[:1] == " ")  # the few that begin a text last
         while len(known) > len(self.begin):
             self.begin, self.size = np.concatenate([self.begin, np.zeros_like(self.begin)]), np.concatenate([self.size, np.zeros_like(self.size)])
-        for at in range(0, len(alone), 20_000):
-            keys = alone[at : at + 20_000]
-            for e, key in zip(self.tokenizer.encode_batch_fast(list(map(self._text, keys)), add_special_tokens=False), keys, strict=True):
-                self._put(known[key], e.ids)
+        for at in range(0, len(alone), 2_000):
+            keys = alone[at : at + 2_000]
+            for key, ids in zip(keys, self._ids(list(map(self._text, keys))), strict=True):
+                self._put(known[key], ids)
         for at, core, tail in joined:
             if tail not in self.tails:
                 self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
             b = self.begin[core]
             self._put(at, [*self.flat[b : b + self.size[core]].tolist(), *self.tails[tail]])
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray] | list[list[int]]:
+        """Ids of each of many short texts. Those that begin with one blank are encoded as one text, told apart by bytes."""
+        if self.blanks and all(_PLAIN.fullmatch(t) for t in texts):
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(t.encode()) for t in texts])) + 1
+            return np.split(ids, ends[:-1])
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _cut(self, text: str) -> list[str]:
         """Keys of a text's pieces: a piece after a blank goes without it, one that begins a text after one."""
         if not self.blanks:
