@@ -11,7 +11,8 @@ Two kinds of paragraph are cut from every text:
 
 Equal contents are one row before anything is compared. Large groups that share a band
 are linked as stars to the band's least and greatest member first; the pairwise
-search then keeps only pairs that are not yet in one component.
+search then keeps only pairs that are not yet in one component and whose one-bit
+MinHash sketches are near enough for the similarity.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.kernels import Words, mix, pieces, shingles, sliding_min
 from loomwork.operators.graph import components
 from loomwork.session import cut
 
-SPAN, BLOCK, SHINGLE = 22, 25, 5
-UNITS = "h long, doc_id long, at int, size int, line boolean, bands array<long>"
+SPAN, BLOCK, SHINGLE, BITS = 24, 25, 5, 128
+UNITS = "h long, doc_id long, at int, size int, line boolean, bands array<long>, sketch array<long>"
 
 
 def tune_bands(similarity: float = 0.8, recall: float = 0.99, most: int = 24) -> tuple[int, int]:
@@ -108,7 +109,9 @@ def units(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
                 row = words.row
                 begin, end = _line_ranges(words, min_words)
                 s = shingles(words.hash, SHINGLE)
-                sig = _minhashes(s, begin, end - SHINGLE + 1, bands * rows) if len(begin) else np.zeros((0, bands * rows), np.uint64)
+                most = max(bands * rows, BITS)
+                sig = _minhashes(s, begin, end - SHINGLE + 1, most) if len(begin) else np.zeros((0, most), np.uint64)
+                odd = np.packbits((sig[:, :BITS] >> np.uint64(17)).astype(np.uint8) & 1, axis=1).view(np.int64)
                 band = np.zeros((len(begin), bands), dtype=np.uint64)
                 for b in range(bands):
                     band[:, b] = np.uint64(b)
@@ -123,8 +126,9 @@ def units(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
                     [
                         pa.array(h.view(np.int64)), sub.column(0).take(pa.array(row[at])), pa.array((at - words.first[:-1][row[at]]).astype(np.int32)), pa.array(size.astype(np.int32)),
                         pa.array(np.arange(len(at)) < len(begin)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(band.ravel().view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(offsets // bands * (BITS // 64)), pa.array(np.ascontiguousarray(odd).ravel())),
                     ],
-                    names=["h", "doc_id", "at", "size", "line", "bands"],
+                    names=["h", "doc_id", "at", "size", "line", "bands", "sketch"],
                 )
 
     return docs.mapInArrow(run, UNITS)
@@ -150,6 +154,13 @@ def _shingle_sets(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, set array<long>")
 
 
+def _near(a: str, b: str, similarity: float) -> Column:
+    """Whether one-bit MinHash sketches differ in few enough bits for the similarity, with three deviations to spare."""
+    p = (1 - similarity) / 2
+    most = int(BITS * p + 3 * (BITS * p * (1 - p)) ** 0.5)
+    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)) <= most
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose exact Jaccard similarity reaches the threshold."""
     both = pairs.join(sets.select(F.col("h").alias("src"), F.col("set").alias("a")), "src").join(sets.select(F.col("h").alias("dst"), F.col("set").alias("b")), "dst")
@@ -172,8 +183,12 @@ def near_lines(distinct: DataFrame, docs: DataFrame, min_words: int, similarity:
     open_ = cut(shared.select("key", "h").join(label, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label")))
     mixed = open_.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     open_ = open_.join(mixed, "key")
-    a, b = open_.select("key", F.col("h").alias("src"), F.col("label").alias("la")), open_.select("key", F.col("h").alias("dst"), F.col("label").alias("lb"))
-    pairs = a.join(b, (a.key == b.key) & (a.src < b.dst) & (a.la != b.lb)).select("src", "dst").distinct()
+    open_ = cut(open_.join(distinct.select("h", "sketch", "size"), "h"))
+    a = open_.select(F.col("key").alias("ka"), F.col("h").alias("src"), F.col("label").alias("la"), F.col("sketch").alias("sa"), F.col("size").alias("na"))
+    b = open_.select(F.col("key").alias("kb"), F.col("h").alias("dst"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), F.col("size").alias("nb"))
+    # a line of n words has n - 4 shingles, fewer of them distinct only if some repeat; 0.6 leaves room for that
+    near = _near("sa", "sb", similarity) & (F.least("na", "nb") >= (similarity - 0.2) * F.greatest("na", "nb"))
+    pairs = a.join(b, (F.col("ka") == F.col("kb")) & (F.col("src") < F.col("dst")) & (F.col("la") != F.col("lb")) & near).select("src", "dst").distinct()
     return star.union(_verified(pairs, sets, similarity))
 
 
@@ -191,8 +206,8 @@ def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recal
     slim = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     place = F.struct("doc_id", "at")
     found = units(slim, min_words, bands, rows)
-    seen = cut(found.select("h", "doc_id", "at", "size", "line"))
-    distinct = cut(found.where("line").groupBy("h").agg(F.min(place).alias("first"), F.first("bands").alias("bands")))
+    seen = cut(found.select("h", "doc_id", "at", "size"))
+    distinct = cut(found.where("line").groupBy("h").agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")))
     links = cut(near_lines(distinct, slim, min_words, similarity))
     label = components(links).withColumnRenamed("node", "h")
     groups = cut(seen.join(label, "h", "left").select(F.coalesce("component", "h").alias("c"), "h", "doc_id", "at", "size")) if links.take(1) else seen.select(F.col("h").alias("c"), "h", "doc_id", "at", "size")
