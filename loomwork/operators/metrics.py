@@ -16,7 +16,7 @@ def blocking_stats(cand: DataFrame, gold: DataFrame, entities: DataFrame, keys:
     ends = lambda d: d.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
     c, g = ends(cand).distinct(), ends(gold).distinct()
     sizes = cand.agg(F.count("*").alias("candidate_set_length")).crossJoin(g.agg(F.count("*").alias("golden"))).crossJoin(entities.agg(F.count("*").alias("entities"))).crossJoin(_hits(c, g, ["x", "y"]))
-    return sizes.select("candidate_set_length", (F.col("candidate_set_length") / F.col("entities")).alias("pair_entity_ratio"), (F.col("hits") / F.col("candidate_set_length")).alias("precision"), (F.col("hits") / F.col("golden")).alias("recall"))
+    return sizes.select("candidate_set_length", F.try_divide("candidate_set_length", "entities").alias("pair_entity_ratio"), F.try_divide("hits", "candidate_set_length").alias("precision"), F.try_divide("hits", "golden").alias("recall"))
 
 
 def place_stats(cand: DataFrame, gold: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def place_stats(cand: DataFrame, gold: DataFrame) -> DataFrame:
     keys = ["placeId1", "placeId2"]
     c, g = cand.select(*keys).distinct(), gold.select(*keys).distinct()
     sizes = c.agg(F.count("*").alias("candidates")).crossJoin(g.agg(F.count("*").alias("golden"))).crossJoin(_hits(c, g, keys))
-    return sizes.select("candidates", (F.col("hits") / F.col("candidates")).alias("precision"), (F.col("hits") / F.col("golden")).alias("recall"))
+    return sizes.select("candidates", F.try_divide("hits", "candidates").alias("precision"), F.try_divide("hits", "golden").alias("recall"))
 
 
 def confusion(df: DataFrame, truth: Column, guess: Column, *by: Column) -> DataFrame:
@@ -59,7 +59,7 @@ def roc_auc(df: DataFrame, truth: Column, score: Column) -> DataFrame:
 
     by = df.groupBy(score.alias("s")).agg(F.count_if(truth.cast("int") == 1).alias("p"), F.count_if(truth.cast("int") == 0).alias("n"))
     below = F.sum("n").over(W.orderBy("s").rowsBetween(W.unboundedPreceding, -1))
-    return by.withColumn("below", F.coalesce(below, F.lit(0))).agg((F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)) / (F.sum("p") * F.sum("n"))).alias("auc"))
+    return by.withColumn("below", F.coalesce(below, F.lit(0))).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
 
 
 def rule_crosstab(df: DataFrame, name: Column, brand: Column, near: Column) -> DataFrame:
