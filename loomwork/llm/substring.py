@@ -9,10 +9,10 @@ Two kinds of paragraph are cut from every text:
   text: any shared run of ``SPAN + BLOCK + 2`` words or more holds a common block. They
   are compared for equality, the band of all their shingles.
 
-Equal contents are one row before anything is compared. Large groups that share a band
-are linked as stars to the band's least and greatest member first; the pairwise
-search then keeps only pairs that are not yet in one component and whose one-bit
-MinHash sketches are near enough for the similarity.
+Equal contents are one row before anything is compared. Members of a band are compared
+with the band's least and greatest member and, if it is large, with a few dealt at random
+first; the pairwise search then keeps only pairs that are not yet in one component and
+whose one-bit MinHash sketches are near enough for the similarity.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.kernels import Words, mix, pieces, shingles, sliding_min
 from loomwork.operators.graph import components
-from loomwork.session import cut
+from loomwork.session import cut, new_path
 
 SPAN, BLOCK, SHINGLE, BITS = 24, 25, 5, 128
+HAND, PART = 32, 1024
 UNITS = "h long, doc_id long, at int, size int, line boolean, bands array<long>, sketch array<long>"
 
 
@@ -169,27 +170,68 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(sizes).where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select("src", "dst")
 
 
+def _open_members(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, n, h, label`` of the bands that still hold several components of ``links``."""
+    label = components(links).withColumnRenamed("node", "h")
+    members = cut(shared.select("key", "n", "h").join(label, "h", "left").select("key", "n", "h", F.coalesce("component", "h").alias("label")))
+    mixed = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    return cut(members.join(mixed, "key"))
+
+
+def _meet(a: DataFrame, b: DataFrame, on: list[str], facts: DataFrame, bands: int, similarity: float) -> DataFrame:
+    """Links between rows of different components that meet on ``on``.
+
+    Pairs are decided where they meet, so only links are rows: components, then whether
+    ``key`` is the first band the two share (each pair is decided once), then sketches, sizes, and
+    the exact similarity of ``facts``: h, bands, sketch, set.
+    """
+    names = ["label", "bands", "sketch", "set"]
+    left = a.join(facts, "h").select(*on, F.col("h").alias("src"), *[F.col(c).alias(f"{c}_a") for c in names])
+    right = b.join(facts, "h").select(*on, F.col("h").alias("dst"), *[F.col(c).alias(f"{c}_b") for c in names])
+    first = F.coalesce(*[F.when(F.col("bands_a")[i] == F.col("bands_b")[i], F.col("bands_a")[i]) for i in range(bands)]) == F.col("key")
+    m, n = F.size("set_a"), F.size("set_b")
+    same = F.size(F.array_intersect("set_a", "set_b")) * (1 + similarity) >= similarity * (m + n) - 1e-9
+    near = (F.col("src") < F.col("dst")) & (F.col("label_a") != F.col("label_b")) & first & _near("sketch_a", "sketch_b", similarity) & (F.least(m, n) >= similarity * F.greatest(m, n)) & same
+    return left.join(right, on).where(near).select("src", "dst")
+
+
 def near_lines(distinct: DataFrame, docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
-    """Links ``src, dst`` between contents of lines; ``distinct``: h, first (doc_id, at), bands."""
+    """Links ``src, dst`` between contents of lines; ``distinct``: h, first (doc_id, at), bands, sketch.
+
+    Three searches, each on what the one before left in different components: every member
+    of a band against its least and greatest; members of a large band dealt at random into
+    hands of about ``HAND``; and all pairs of a band, which alone decides
+    that two components stay apart. The last splits a band into parts of about ``PART``
+    rows, so that no task holds a large band; a band of n lines that nothing links takes n * n comparisons.
+    """
+    bands = distinct.select(F.size("bands").alias("n")).first()
+    if bands is None:
+        return distinct.select(F.col("h").alias("src"), F.col("h").alias("dst"))
     table = distinct.select("h", F.explode("bands").alias("key"))
-    ends = table.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
+    ends = table.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     shared = cut(table.join(ends, "key"))
     some = shared.select("h").distinct().join(distinct.select("h", F.col("first.doc_id").alias("doc_id")), "h").select("doc_id").distinct()
     texts = docs.join(some, "doc_id", "left_semi")
     sets = cut(_shingle_sets(texts, min_words).join(shared.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"]))
     star = shared.select(F.col("h").alias("src"), F.explode(F.array("lo", "hi")).alias("dst")).where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    star = cut(_verified(star, sets, similarity))
-    label = components(star).withColumnRenamed("node", "h")
-    open_ = cut(shared.select("key", "h").join(label, "h", "left").select("key", "h", F.coalesce("component", "h").alias("label")))
-    mixed = open_.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    open_ = open_.join(mixed, "key")
-    open_ = cut(open_.join(distinct.select("h", "sketch", "size"), "h"))
-    a = open_.select(F.col("key").alias("ka"), F.col("h").alias("src"), F.col("label").alias("la"), F.col("sketch").alias("sa"), F.col("size").alias("na"))
-    b = open_.select(F.col("key").alias("kb"), F.col("h").alias("dst"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), F.col("size").alias("nb"))
-    # a line of n words has n - 4 shingles, fewer of them distinct only if some repeat; 0.6 leaves room for that
-    near = _near("sa", "sb", similarity) & (F.least("na", "nb") >= (similarity - 0.2) * F.greatest("na", "nb"))
-    pairs = a.join(b, (F.col("ka") == F.col("kb")) & (F.col("src") < F.col("dst")) & (F.col("la") != F.col("lb")) & near).select("src", "dst").distinct()
-    return star.union(_verified(pairs, sets, similarity))
+    links = cut(_verified(star, sets, similarity))
+    facts = distinct.select("h", "bands", "sketch").join(sets, "h")
+    members = _open_members(shared, links)
+    large = members.where(F.col("n") > 2 * HAND)
+    if large.take(1):
+        dealt = large.withColumn("hand", F.pmod(F.xxhash64("h", "key"), F.ceil(F.col("n") / HAND)))
+        links = cut(links.union(_meet(dealt, dealt, ["key", "hand"], facts, bands["n"], similarity)).distinct())
+        members = _open_members(shared, links)
+    parts = F.ceil(F.col("n") / PART)
+    whole = members.withColumn("part", F.pmod(F.xxhash64("h"), parts)), members.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return links.union(_meet(*whole, ["key", "part"], facts, bands["n"], similarity))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder: lineage is cut and later reads take only their columns."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
@@ -205,14 +247,20 @@ def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recal
     bands, rows = tune_bands(similarity, recall)
     slim = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     place = F.struct("doc_id", "at")
-    found = units(slim, min_words, bands, rows)
-    seen = cut(found.select("h", "doc_id", "at", "size"))
-    distinct = cut(found.where("line").groupBy("h").agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")))
+    found = _written(units(slim, min_words, bands, rows), "paragraphs")
+    seen = found.select("h", "doc_id", "at", "size")
+    distinct = _written(found.where("line").groupBy("h").agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "lines")
     links = cut(near_lines(distinct, slim, min_words, similarity))
-    label = components(links).withColumnRenamed("node", "h")
-    groups = cut(seen.join(label, "h", "left").select(F.coalesce("component", "h").alias("c"), "h", "doc_id", "at", "size")) if links.take(1) else seen.select(F.col("h").alias("c"), "h", "doc_id", "at", "size")
-    classes = groups.groupBy("c").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id <> last")
-    hit = groups.join(classes, "c").select("doc_id", "at", "size", F.col("first.doc_id").alias("class_id"), (place != F.col("first")).alias("gone")).distinct()
+    contents = seen.groupBy("h").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
+    if links.take(1):
+        label = components(links).withColumnRenamed("node", "h")
+        contents = contents.join(label, "h", "left").where("component is not null or first.doc_id <> last").select("h", F.coalesce("component", "h").alias("c"), "first", "last")
+    else:
+        contents = contents.where("first.doc_id <> last").select("h", F.col("h").alias("c"), "first", "last")
+    contents = cut(contents)
+    classes = contents.groupBy("c").agg(F.min("first").alias("kept"), F.max("last").alias("last")).where("kept.doc_id <> last").select("c", "kept")
+    hit = seen.join(contents.select("h", "c").join(classes, "c").select("h", "kept"), "h").select("doc_id", "at", "size", F.col("kept.doc_id").alias("class_id"), (place != F.col("kept")).alias("gone"))
+    hit = hit.repartition("doc_id").distinct()  # the one shuffle serves the sums by document too
     spans = F.array_sort(F.collect_set(F.when(F.col("gone"), F.struct(F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e")))))
     per = hit.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n_repeats"), F.count_if("gone").alias("n_removed"), spans.alias("spans"))
     merged = F.expr(
