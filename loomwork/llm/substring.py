@@ -10,9 +10,9 @@ Two kinds of paragraph are cut from every text:
   are compared for equality, the band of all their shingles.
 
 Equal contents are one row before anything is compared. Members of a band are compared
-with the band's least and greatest member and, if it is large, with a few dealt at random
-first; the pairwise search then keeps only pairs that are not yet in one component and
-whose one-bit MinHash sketches are near enough for the similarity.
+with the band's least and greatest member first; the pairwise search then decides only
+pairs that are not yet in one component and whose one-bit MinHash sketches are near
+enough for the similarity.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from loomwork.operators.graph import components
 from loomwork.session import cut, new_path
 
 SPAN, BLOCK, SHINGLE, BITS = 24, 25, 5, 128
-HAND, PART = 32, 1024
+PART = 1024
 UNITS = "h long, doc_id long, at int, size int, line boolean, bands array<long>, sketch array<long>"
 
 
@@ -198,11 +198,10 @@ def _meet(a: DataFrame, b: DataFrame, on: list[str], facts: DataFrame, bands: in
 def near_lines(distinct: DataFrame, docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """Links ``src, dst`` between contents of lines; ``distinct``: h, first (doc_id, at), bands, sketch.
 
-    Three searches, each on what the one before left in different components: every member
-    of a band against its least and greatest; members of a large band dealt at random into
-    hands of about ``HAND``; and all pairs of a band, which alone decides
-    that two components stay apart. The last splits a band into parts of about ``PART``
-    rows, so that no task holds a large band; a band of n lines that nothing links takes n * n comparisons.
+    First every member of a band against its least and greatest, then all pairs of a band
+    that are in different components of these links. The second search splits a band into
+    parts of about ``PART`` rows, so that no task holds a large band; a band of n lines that
+    nothing links takes n * n comparisons.
     """
     bands = distinct.select(F.size("bands").alias("n")).first()
     if bands is None:
@@ -217,11 +216,6 @@ def near_lines(distinct: DataFrame, docs: DataFrame, min_words: int, similarity:
     links = cut(_verified(star, sets, similarity))
     facts = distinct.select("h", "bands", "sketch").join(sets, "h")
     members = _open_members(shared, links)
-    large = members.where(F.col("n") > 2 * HAND)
-    if large.take(1):
-        dealt = large.withColumn("hand", F.pmod(F.xxhash64("h", "key"), F.ceil(F.col("n") / HAND)))
-        links = cut(links.union(_meet(dealt, dealt, ["key", "hand"], facts, bands["n"], similarity)).distinct())
-        members = _open_members(shared, links)
     parts = F.ceil(F.col("n") / PART)
     whole = members.withColumn("part", F.pmod(F.xxhash64("h"), parts)), members.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     return links.union(_meet(*whole, ["key", "part"], facts, bands["n"], similarity))
