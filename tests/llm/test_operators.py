@@ -142,6 +142,36 @@ def test_substring(docs, empty):
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99
 
 
+def test_substring_large_band(spark, monkeypatch):
+    """Many near copies of one line, split into parts: the links join what brute force joins, and each is a true one."""
+    monkeypatch.setattr(substring, "PART", 16)
+    rng = np.random.default_rng(5)
+    base = rng.choice(LEX, 300).tolist()
+    lines = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.choice(300, rng.integers(1, 9), replace=False):
+            words[at] = f"w{i}x{at}"
+        lines.append(" ".join(words))
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    found = substring.units(table, 20, *substring.tune_bands()).where("line")
+    distinct = found.select("h", F.struct("doc_id", "at").alias("first"), "bands", "sketch")
+    name = {r["h"]: r["first"]["doc_id"] for r in distinct.collect()}
+    got = {frozenset((name[r["src"]], name[r["dst"]])) for r in substring.near_lines(distinct, table, 20, 0.8).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, lines)]
+    true = {frozenset((a, b)) for a in range(90) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+
+    def groups(links):
+        label = list(range(90))
+        for a, b in map(tuple, links):
+            label = [label[a] if x == label[b] else x for x in label]
+        return {frozenset(i for i in range(90) if label[i] == x) for x in set(label)}
+
+    assert len(true) > 50
+    assert got <= true
+    assert groups(got) == groups(true)
+
+
 def test_decontam(spark, docs, empty):
     bench = spark.createDataFrame([(1, ITEM), (2, prose(30)), (3, None), (4, "")], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"], r["kind"]) for r in decontam.matches(docs, bench, cosine=0.3).collect()] == [(9, 1, "copy")]
