@@ -8,7 +8,8 @@
    passages of a language share) and scaled to equal variance, span the latent space.
 2. A word's latent vector is its row of that basis times its weight, a run of words is
    the sum of its words. Windows of about each benchmark item's length slide over every
-   text; those whose cosine with an item reaches ``cosine`` are candidates.
+   text; those whose cosine with an item reaches ``cosine`` are candidates, unless they
+   hold fewer words of the item or its answer than step 3 asks for.
 3. A candidate is confirmed where a longest common subsequence holds at least ``copy`` of
    the item's words, or at least ``paraphrase`` of them and its answer, the last ``ANSWER``
    words of the item, all but one of them in order.
@@ -35,18 +36,45 @@ def _words(col: pa.Array) -> tuple[Words, np.ndarray]:
     return words, (words.hash >> np.uint64(9)).astype(np.int64) % BINS
 
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def _places(a: list[int]) -> dict[int, int]:
+    """For each word of ``a`` the bits of its places."""
     masks: dict[int, int] = {}
     for i, x in enumerate(a):
         masks[x] = masks.get(x, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+    return masks
+
+
+def _common(masks: dict[int, int], size: int, b: list[int]) -> int:
+    full = (1 << size) - 1
     v = full
     for x in b:
-        if m := masks.get(x):
-            u = v & m
+        if x in masks:
+            u = v & masks[x]
             v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return size - v.bit_count()
+
+
+def lcs(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    return _common(_places(a), len(a), b)
+
+
+def _sliding(x: np.ndarray, w: int) -> np.ndarray:
+    """The sums of every ``w`` consecutive rows, by doubling."""
+    n, out, at, size = len(x) - w + 1, None, 0, 1
+    while w:
+        if w & 1:
+            out = x[at : at + n] if out is None else out + x[at : at + n]
+            at += size
+        w >>= 1
+        if w:
+            x, size = x[:-size] + x[size:], size * 2
+    return out
+
+
+def _slack(length: int) -> int:
+    """Words looked at on both sides of a window."""
+    return max(STEP * 2, length // 4)
 
 
 def sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +108,7 @@ def sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 class Item:
     item_id: int
     words: list[int]
+    places: dict[int, int]
 
 
 class Finder:
@@ -88,47 +117,82 @@ class Finder:
     def __init__(self, items: list[tuple[int, str]], latent: np.ndarray, cosine: float, copy: float, paraphrase: float):
         self.latent, self.cosine, self.copy, self.paraphrase = latent, cosine, copy, paraphrase
         words, f = _words(pa.array([t for _, t in items], pa.string()))
-        self.items = [Item(i, words.hash[a:b].tolist()) for (i, _), a, b in zip(items, words.first, words.first[1:], strict=False)]
-        self.sets = [set(x.words) for x in self.items]
+        self.items = [Item(i, w := words.hash[a:b].tolist(), _places(w)) for (i, _), a, b in zip(items, words.first, words.first[1:], strict=False)]
+        self.known, name = np.unique(words.hash, return_inverse=True)
         vec = np.zeros((len(items), latent.shape[1]), dtype=np.float32)
         np.add.at(vec, words.row, latent[f])
         self.vec = vec / np.maximum(1e-9, np.sqrt((vec * vec).sum(axis=1, keepdims=True)))
-        size = np.array([len(x.words) for x in self.items])
-        self.classes = {}
-        for i in np.flatnonzero(size > 0):
-            self.classes.setdefault(self._class(int(size[i])), []).append(i)
+        self.size = np.array([len(x.words) for x in self.items])
+        classes: dict[int, list[list[int]]] = {}
+        for i in np.flatnonzero(self.size > 0):
+            parts = classes.setdefault(self._class(int(self.size[i])), [[]])
+            if parts[-1] and (len(parts[-1]) == 128 or self.size[[*parts[-1], i]].sum() > 1 << 14):
+                parts.append([])
+            parts[-1].append(i)
+        self.classes = {n: [self._table(part, name, words.first) for part in parts] for n, parts in classes.items()}
+
+    @staticmethod
+    def _table(part: list[int], name: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Items, their distinct words, which item holds which of these, and a bit for each of its answer's places; the last row is for all other words."""
+        own = np.unique(np.concatenate([name[first[i] : first[i + 1]] for i in part]))
+        holds = np.zeros((len(own) + 1, len(part)), dtype=np.uint8)
+        answers = np.zeros_like(holds)
+        for k, i in enumerate(part):
+            at = np.searchsorted(own, name[first[i] : first[i + 1]])
+            holds[at, k] = 1
+            for bit, x in enumerate(at[-ANSWER:]):
+                answers[x, k] |= 1 << bit
+        return np.asarray(part), own, holds, answers
 
     @staticmethod
     def _class(size: int) -> int:
-        """Window length in steps: 2, 3, 4, 6, 9, 13, 19, 28, ..."""
+        """Window length in steps: 2, 3, 4, 5, 6, 8, 10, 12, 15, ..."""
         n = 2
-        while n * STEP * 1.2 < size:
-            n = max(n + 1, round(n * 1.45))
+        while n * STEP * 1.12 < size:
+            n = max(n + 1, int(n * 1.25))
         return n
 
-    def candidates(self, f: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Window length in words, starts and items of the windows that are near an item."""
+    def candidates(self, f: np.ndarray, known: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Window length in words, starts and items of the windows that are near an item.
+
+        Windows that, slack included, hold too few words of the item or its answer for any match are left out.
+        """
         v = self.latent[f]
         pad = -len(v) % STEP
         if pad:
             v = np.concatenate([v, np.zeros((pad, v.shape[1]), dtype=np.float32)])
+            known = np.concatenate([known, np.full(pad, len(self.known))])
         sums = v.reshape(-1, STEP, v.shape[1]).sum(axis=1)
-        for n, items in self.classes.items():
-            run = np.concatenate([np.zeros((1, v.shape[1]), np.float32), np.cumsum(np.concatenate([sums, np.zeros((n, v.shape[1]), np.float32)]), axis=0, dtype=np.float32)])
-            step = max(1, n // 3)
-            win = run[n::step][: -(-len(sums) // step)] - run[:-n:step][: -(-len(sums) // step)]
-            near = win @ self.vec[items].T
-            size = np.sqrt(np.einsum("ij,ij->i", win, win))
-            at, which = np.nonzero(near >= self.cosine * np.maximum(size, 1e-6)[:, None])
-            yield n * STEP, at * step * STEP, np.asarray(items)[which]
+        for n, parts in self.classes.items():
+            step = 1 if n <= 8 else 2
+            more = -(-_slack(n * STEP) // STEP)
+            win = _sliding(np.concatenate([sums, np.zeros((n - 1, v.shape[1]), np.float32)]), n)[::step]
+            size = self.cosine * np.maximum(np.sqrt(np.einsum("ij,ij->i", win, win)), 1e-6)
+            count = np.uint16 if n < 1 << 12 else np.int64
+            for items, own, holds, answers in parts:
+                row = np.full(len(self.known) + 1, len(own), dtype=np.int32)
+                row[own] = np.arange(len(own))
+                word = row[known]
+                held = np.zeros((len(sums) + 2 * more + n - 1, len(items)), dtype=count)
+                held[more : more + len(sums)] = sum(holds[word[k::STEP]] for k in range(STEP))
+                held = _sliding(held, n + 2 * more)[::step]
+                part, whole = (np.ceil(least * self.size[items] - 1e-9).astype(count) for least in (min(self.copy, self.paraphrase), self.copy))
+                at, which = np.nonzero((held >= part) & (win @ self.vec[items].T >= size[:, None]))
+                may = held[at, which] >= whole[which]
+                rest = np.flatnonzero(~may)
+                padded = np.concatenate([np.full(more * STEP, len(own), np.int32), word, np.full((n + more) * STEP, len(own), np.int32)])
+                width = np.arange((n + 2 * more) * STEP)
+                take = max(1, (1 << 22) // len(width))
+                for lo in range(0, len(rest), take):
+                    some = rest[lo : lo + take]
+                    bits = np.bitwise_or.reduce(answers[padded[at[some, None] * step * STEP + width], which[some, None]], axis=1)
+                    may[some] = np.bitwise_count(bits) >= np.minimum(ANSWER, self.size[items[which[some]]]) - 1
+                yield n * STEP, at[may] * step * STEP, items[which[may]]
 
     def check(self, i: int, text: list[int]) -> tuple[float, str] | None:
         """Share of item ``i`` in the words of a window, and how it was found."""
         item, size = self.items[i], len(self.items[i].words)
-        held = self.sets[i].intersection(text)
-        if len(held) < self.paraphrase * len(self.sets[i]) * 0.8:
-            return None
-        share = lcs(item.words, text) / size
+        share = _common(item.places, size, text) / size
         if share >= self.copy:
             return share, "copy"
         answer = item.words[-ANSWER:]
@@ -142,8 +206,10 @@ class Finder:
         out: dict[tuple[int, int], tuple[float, str]] = {}
         if not len(f):
             return out
-        for length, starts, items in self.candidates(f):
-            slack = max(STEP * 2, length // 4)
+        known = np.minimum(np.searchsorted(self.known, words.hash), len(self.known) - 1)
+        known = np.where(self.known[known] == words.hash, known, len(self.known))
+        for length, starts, items in self.candidates(f, known):
+            slack = _slack(length)
             owner = lambda p: np.searchsorted(words.first, np.minimum(p, len(f) - 1), "right") - 1
             left, right = owner(starts), owner(starts + length - 1)
             two = right != left
@@ -156,7 +222,7 @@ class Finder:
         return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
     """``doc_id, item_id, share, kind`` of every document and benchmark item found in it.
 
     Items are taken in blocks of ``block_items`` (a proven bound for what is sent to the

@@ -229,3 +229,21 @@ def test_pipeline(spark, tmp_path):
         assert out.columns == docs.columns
     packed = corpus_pipeline.run(spark, sf).toPandas()
     assert packed.groupby("sequence_id").length.sum().max() <= 4096 and packed.doc_id.nunique() > 0.6 * docs.count()
+
+
+def test_decontam_paraphrases(spark):
+    """At the defaults: 60 to 80 percent of an item's words in order, the last five among them, at every offset."""
+    rng = np.random.default_rng(11)
+    say = lambda n: rng.choice(LEX, n).tolist()
+    items = [say(int(n)) for n in rng.integers(14, 60, 40)]
+    rows = [(i, " ".join(say(200))) for i in range(100, 400)]
+    for k in range(80):
+        w = items[k % 40]
+        kept = set(rng.choice(len(w) - 5, int(np.ceil(len(w) * rng.uniform(0.6, 0.8))) - 5, replace=False).tolist()) | set(range(len(w) - 5, len(w)))
+        rows.append((k, " ".join(say(50 + k) + [x if i in kept else f"other{i}" for i, x in enumerate(w)] + say(60))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, bench).collect()}
+    planted = {(k, k % 40) for k in range(80)}
+    assert len(got & planted) >= 0.95 * len(planted)
+    assert got <= planted
