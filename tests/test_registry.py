@@ -36,3 +36,23 @@ def test_entry_imports_without_llm():
     import __spark_entry__
 
     assert "grid_block_house" in __spark_entry__.queries()
+
+
+def test_connected_components_over_all_edges(spark):
+    """Every house-block edge counts, by union-find over the whole block."""
+    from loomwork.operators import pairs
+
+    data = "/root/testdata/sf0.01"  # the smallest scale has no edges
+    edges = pairs.block_house(registry.place_view(spark, data)).select("ltable_id", "rtable_id").collect()
+    assert edges
+    up = {n: n for e in edges for n in e}
+
+    def root(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in map(lambda e: sorted(map(root, e)), edges):
+        up[b] = a
+    got = {r["node"]: r["component"] for r in registry.queries()["connected_components"](spark, data).collect()}
+    assert got == {n: root(n) for n in up}
