@@ -23,12 +23,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loomwork.llm.kernels import pieces
 from loomwork.operators.graph import components
 from loomwork.session import cut
 
 _FLUSH = 1 << 18
+_FP = "_fp"
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -63,6 +65,19 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, fp long")
 
 
+def _with_fingerprint(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with the fingerprint of every row's text in one more column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sub in pieces(batch, "text"):
+                text = sub.column(sub.schema.get_field_index("text"))
+                fp = np.array([fingerprint(t, words) for t in text.to_pylist()], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*sub.columns, pa.array(fp)], names=[*sub.schema.names, _FP])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(_FP, LongType())]))
+
+
 def _bounds(segments: int) -> list[tuple[int, int]]:
     cuts = [64 * i // segments for i in range(segments + 1)]
     return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
@@ -112,6 +127,15 @@ def links(fps: DataFrame, radius: int = 4, segments: int = 3) -> DataFrame:
     return star.union(asked.join(held, on).select("src", "dst").distinct())
 
 
+def _groups(rows: DataFrame, radius: int, segments: int) -> DataFrame:
+    """``fp, component, component_id`` of every distinct fingerprint of ``rows``."""
+    fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    group = components(links(fps.select("fp"), radius, segments)).withColumnRenamed("node", "fp")
+    named = fps.join(group, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return named.join(least, "component").select("fp", "component", "component_id")
+
+
 def simhash(docs: DataFrame, words: int = 4, radius: int = 4, segments: int = 3) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
 
@@ -121,21 +145,21 @@ def simhash(docs: DataFrame, words: int = 4, radius: int = 4, segments: int = 3)
     empty table gives no rows; other columns are ignored.
     """
     rows = cut(fingerprints(docs, words))
-    fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    group = components(links(fps.select("fp"), radius, segments)).withColumnRenamed("node", "fp")
-    named = fps.join(group, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "component").select("fp", "component_id")
+    named = _groups(rows, radius, segments).drop("component")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, segments: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: one of each near-duplicate group, the smallest doc_id.
 
-    Of rows that repeat that doc_id one stays. Rows without a doc_id stay unless their
-    group has another row.
+    Each row is judged by its own text: of rows that repeat that doc_id within the group
+    one stays, and a row without a doc_id stays only where its whole group has none.
     """
-    groups = simhash(docs, **options).select(F.col("doc_id").alias("_id"), "component_id").distinct()
-    out = docs.join(groups, docs["doc_id"].eqNullSafe(groups["_id"])).where(F.col("_id").eqNullSafe(F.col("component_id")))
-    return out.dropDuplicates(["_id"]).select(*docs.columns)
+    slim = cut(fingerprints(docs, words))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp")  # nulls last
+    best = slim.join(_groups(slim, radius, segments).select("fp", "component"), "fp").groupBy("component").agg(F.min(order).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("_id"), F.col("best.fp").alias("_of"))
+    rows = _with_fingerprint(docs, words)
+    out = rows.join(best, (rows[_FP] == best["_of"]) & rows["doc_id"].cast("long").eqNullSafe(best["_id"]))
+    return out.dropDuplicates(["_of"]).select(*docs.columns)

@@ -247,3 +247,12 @@ def test_decontam_paraphrases(spark):
     planted = {(k, k % 40) for k in range(80)}
     assert len(got & planted) >= 0.95 * len(planted)
     assert got <= planted
+
+
+def test_keep_one_judges_rows(spark):
+    """Rows without doc_id, or with the same one, whose texts differ all stay; near copies among them do not."""
+    texts = [prose(60) for _ in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(1, texts[4]), (1, texts[5]), (1, texts[5]), (2, texts[6]), (3, texts[6]), (None, texts[6]), (None, texts[7]), (None, texts[7])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(None, t) for t in texts[:4]] + [(1, texts[4]), (1, texts[5]), (2, texts[6]), (None, texts[7])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
