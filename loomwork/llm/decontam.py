@@ -222,6 +222,18 @@ class Finder:
         return out
 
 
+def _finders(docs: DataFrame, benchmark: DataFrame, cosine: float, copy: float, paraphrase: float, block_items: int) -> Iterator[Finder]:
+    """A finder for each block of items that has any words."""
+    latent, _ = sketch(docs)
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    blocks = max(1, -(-items.count() // block_items))
+    for b in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        finder = Finder([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], latent, cosine, copy, paraphrase)
+        if finder.classes:
+            yield finder
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
     """``doc_id, item_id, share, kind`` of every document and benchmark item found in it.
 
@@ -231,18 +243,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: fl
     each looked for; documents that share a doc_id are one; rows without doc_id or item_id
     come back with a null. Empty tables give no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    latent, _ = sketch(docs)
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    blocks = max(1, -(-items.count() // block_items))
     kind = "doc_id long, item_id long, share double, kind string"
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    out = spark.createDataFrame([], kind)
-    for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        finder = Finder([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], latent, cosine, copy, paraphrase)
-        if finder.classes:
-            out = out.union(slim.mapInArrow(_runner(finder), kind))
+    out = docs.sparkSession.createDataFrame([], kind)
+    for finder in _finders(docs, benchmark, cosine, copy, paraphrase, block_items):
+        out = out.union(slim.mapInArrow(_runner(finder), kind))
     return out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "kind")).alias("x")).select("doc_id", "item_id", F.round("x.share", 6).alias("share"), "x.kind")
 
 
@@ -261,7 +266,21 @@ def _runner(finder: Finder):
     return run
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found, with the same columns; rows without doc_id stay."""
-    leaked = matches(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).where("_leak is not null").distinct()
-    return docs.join(leaked, docs["doc_id"] == leaked["_leak"], "left_anti")
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found, with the same columns; each row is judged by its own text."""
+    out = docs
+    for finder in _finders(docs, benchmark, cosine, copy, paraphrase, block_items):
+        out = out.mapInArrow(_cleaner(finder), docs.schema)
+    return out
+
+
+def _cleaner(finder: Finder):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sub in pieces(batch, "text", 1 << 18):
+                keep = np.ones(sub.num_rows, dtype=bool)
+                for d, _ in finder.find(sub.column(sub.schema.get_field_index("text"))):
+                    keep[d] = False
+                yield sub.filter(pa.array(keep))
+
+    return run

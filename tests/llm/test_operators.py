@@ -256,3 +256,14 @@ def test_keep_one_judges_rows(spark):
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     want = [(None, t) for t in texts[:4]] + [(1, texts[4]), (1, texts[5]), (2, texts[6]), (None, texts[7])]
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
+def test_keep_uncontaminated_judges_rows(spark):
+    """A row without doc_id that holds an item goes, and one without an item stays."""
+    clean, leak = [prose(80) for _ in range(4)], prose(30) + " " + ITEM + " " + prose(30)
+    rows = [(None, clean[0]), (None, leak), (None, None), (1, clean[1]), (1, leak), (2, clean[2]), (3, leak)]
+    rows += [(i, prose(150)) for i in range(10, 110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    kept = decontam.keep_uncontaminated(docs, bench).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [r for r in rows if r[1] != leak]))
