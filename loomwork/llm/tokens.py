@@ -1,11 +1,16 @@
 """Token ids of whole texts, and their Simple-8b word-aligned files.
 
-``Encoder`` gives the same ids as encoding each whole text at once. White space never
-joins the token before it, so a text may be cut before each single blank or line end and
-each piece looked up in a table of pieces seen before; only new pieces are encoded.
-Texts where that would not hold (runs of white space) are encoded whole.
+``Encoder`` gives the same ids as encoding each whole text at once. The last character of
+a run of white space never joins the token before it where other text follows, so a text
+may be cut there; each batch's distinct pieces are looked up in a table of pieces seen
+before, and only new ones are encoded. Texts that hold a special token's string are
+encoded whole.
 
-File format ("S8B1", little-endian), one shard a row of the written table::
+The written table is a Parquet folder, which any shared file system takes and Spark reads
+back by itself: one row a shard, with ``part`` (which range of doc_id), ``before`` (ids of
+that part before this shard), ``ids`` (ids in it) as its index, and the shard's bytes.
+
+Shard format ("S8B1", little-endian)::
 
     magic 4s | documents u32 | ids u64 | block u32 | blocks u32
     doc_id i64 * documents | ids of each document u32 * documents
@@ -18,18 +23,20 @@ A block with a value of over 60 bits is escaped: a word with selector 0, then ra
 
 from __future__ import annotations
 
-import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import compress, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import pieces
+from loomwork.llm.kernels import map_arrow, pieces, text_bytes
 from loomwork.session import new_path
 
 #: Values a word, bits a value, by selector; 0 is the escape.
@@ -38,121 +45,166 @@ BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0], dtype=n
 BLOCK = 128
 HEAD = struct.Struct("<4sIQII")
 
-#: A blank or line end, then no white space.
-_PLAIN = re.compile(r"[ \n]\S+")
-_RUN = re.compile(r"\s[ \n]")
-
-
-#: Marks that no pattern of the vocabularies joins with letters before them.
-_TAIL = ".,;:!?*&%$#|)"
-
-
-class _Table(dict):
-    """Numbers keys in the order they come; ``new``: those numbered since it was last emptied."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
+#: Blanks and line ends, before which a text may be cut, and all ASCII white space.
+_CUT = np.zeros(256, dtype=bool)
+_CUT[[32, 10]] = True
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[32, *range(9, 14)]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LOWER[10] = 32
+#: First bytes of the multi-byte white space characters.
+_WIDE = np.zeros(256, dtype=bool)
+_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+#: Pieces looked up at once, and the bytes that one entry of the table takes besides its key and ids.
+_CHUNK, _ENTRY = 1 << 20, 150
+
+
+def _wide_blank(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a multi-byte white space character begins at each place."""
+    a, b, c = (raw[np.minimum(at + k, len(raw) - 1)] for k in range(3))
+    general = (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F)
+    return (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE2) & general | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+
+
+def cut_places(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at every text, every blank or line end that no white space follows, every ASCII mark after an ASCII letter."""
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    np.logical_and(_LETTER[raw[:-1]], _MARK[raw[1:]], out=edge[1 : len(raw)])
+    at = np.flatnonzero(_CUT[raw[:-1]])
+    after = raw[at + 1]
+    ok = ~_BLANK[after]
+    wide = np.flatnonzero(_WIDE[after])
+    ok[wide[_wide_blank(raw, at[wide] + 1)]] = False
+    first = np.zeros(len(raw) + 1, dtype=bool)
+    first[offs] = True
+    edge[at[ok & ~first[at + 1]]] = True
+    return np.flatnonzero(edge | first)
 
 
 class Encoder:
-    """Ids of whole texts by a ``tokenizers`` file; special tokens' strings are ordinary text.
+    """Ids of whole texts by a ``tokenizers`` file: what ``encode(text, add_special_tokens=False)`` gives.
 
-    ``blanks``: whether the vocabulary keeps white space (a byte-level one does).
-    ``room``: pieces kept before the table is begun anew, which bounds memory.
+    Special tokens' strings in a text become their ids, as the library does by default;
+    with ``special_text`` they are ordinary text. ``room``: bytes that the table of pieces
+    may take before it is begun anew (one batch's new pieces come on top).
     """
 
-    def __init__(self, path: str, room: int = 1_300_000):
+    def __init__(self, path: str, special_text: bool = False, room: int = 96 << 20):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_text
         self.room = room
+        self.special = [] if special_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
         size = self.tokenizer.get_vocab_size()
-        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.bytes, self.ends = np.array(list(map(len, names)), dtype=np.int64), np.array([x.endswith("</w>") for x in names])
         self._clear()
 
     def _clear(self) -> None:
-        self.known, self.tails = _Table(), {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.known: dict[bytes, int] = {}
+        self.taken = 0
+        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _put(self, at: int, ids: list[int] | np.ndarray) -> None:
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[at], self.size[at] = self.used, len(ids)
-        self.used += len(ids)
-
-    def _learn(self) -> None:
-        """Ids of all new keys. Letters and a tail of marks are tokens apart, so their ids are put together."""
-        known, alone, joined = self.known, [], []
-        for key in known.new:  # grows while it is read
-            core = key.rstrip(_TAIL)
-            if core != key and core.lstrip(" \n").isalpha():
-                joined.append((known[key], known[core], key[len(core) :]))
+    def _learn(self, keys: list[bytes]) -> None:
+        """Enters new pieces and their ids; most are encoded many at once, as one text."""
+        apart = self._begins if self.blanks else self._one_word
+        plain = [k[0] == 32 and k[1:].isalpha() for k in keys]  # a blank and ASCII letters: either way the commonest
+        many, few = list(compress(keys, plain)), []
+        for k in filterfalse(set(many).__contains__, keys) if len(many) < len(keys) else ():
+            (many if apart(k) else few).append(k)
+        for at in range(0, len(many), 20_000):
+            some = many[at : at + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            if self.blanks:
+                ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(list(map(len, some)))) + 1
             else:
-                alone.append(key)
-        known.new = []
-        alone.sort(key=lambda k: k[:1] == " ")  # the few that begin a text last
-        while len(known) > len(self.begin):
-            self.begin, self.size = np.concatenate([self.begin, np.zeros_like(self.begin)]), np.concatenate([self.size, np.zeros_like(self.size)])
-        for at in range(0, len(alone), 2_000):
-            keys = alone[at : at + 2_000]
-            for key, ids in zip(keys, self._ids(list(map(self._text, keys))), strict=True):
-                self._put(known[key], ids)
-        for at, core, tail in joined:
-            if tail not in self.tails:
-                self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
-            b = self.begin[core]
-            self._put(at, [*self.flat[b : b + self.size[core]].tolist(), *self.tails[tail]])
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray] | list[list[int]]:
-        """Ids of each of many short texts. Those that begin with one blank are encoded as one text, told apart by bytes."""
-        if self.blanks and all(_PLAIN.fullmatch(t) for t in texts):
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(t.encode()) for t in texts])) + 1
-            return np.split(ids, ends[:-1])
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _cut(self, text: str) -> list[str]:
-        """Keys of a text's pieces: a piece after a blank goes without it, one that begins a text after one."""
-        if not self.blanks:
-            return text.replace("\n", " ").split(" ")
-        if _RUN.search(text):
-            return [" " + text]
-        keys = text.replace("\n", " \n").split(" ")
-        keys[0] = " " + keys[0]
-        return keys
-
-    def _text(self, key: str) -> str:
-        if not self.blanks or key[:1] == "\n":
-            return key
-        return key[1:] if key[:1] == " " else " " + key
-
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' ids one after another (uint32), and the number of ids of each text."""
-        cuts = [self._cut(t or "") for t in texts]
-        flat = [p for c in cuts for p in c]
-        if len(self.known) > self.room:
+                ends = np.flatnonzero(self.ends[ids]) + 1
+            self._enter(some, ids, np.diff(ends, prepend=0))
+        for at in range(0, len(few), 2_000):
+            some = few[at : at + 2_000]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([k.decode() for k in some], add_special_tokens=False)]
+            self._enter(some, np.array([x for i in ids for x in i], dtype=np.uint32), np.array(list(map(len, ids)), dtype=np.int64))
+
+    @staticmethod
+    def _begins(key: bytes) -> bool:
+        """Whether a piece begins with one white space character and other text, so that no token joins it with a piece before."""
+        if key[0] not in b" \n" or len(key) == 1:
+            return False
+        return not _BLANK[key[1]] if key[1] < 128 else not key[1:].decode()[0].isspace()
+
+    @staticmethod
+    def _one_word(key: bytes) -> bool:
+        """Whether a piece is a blank and one word, whose last token is the only one that ends a word."""
+        if key[0] != 32:
+            return False
+        return key[1:].isalpha() or (not key.isascii() and unicodedata.normalize("NFC", key[1:].decode()).lower().isalpha())
+
+    def _enter(self, keys: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, to = len(self.known), self.used + len(ids)
+        if to > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(to, len(self.flat)), np.uint32)])
+        if n + len(keys) > len(self.begin):
+            more = np.zeros(max(n + len(keys), len(self.begin)), np.int64)
+            self.begin, self.size = np.concatenate([self.begin[:n], more]), np.concatenate([self.size[:n], more])
+        self.flat[self.used : to] = ids
+        self.begin[n : n + len(keys)] = self.used + np.cumsum(sizes) - sizes
+        self.size[n : n + len(keys)] = sizes
+        self.known.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.taken += sum(map(len, keys)) + _ENTRY * len(keys) + 4 * len(ids)
+        self.used = to
+
+    def _slots(self, raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The table entry of every piece; each distinct piece is looked up once."""
+        body = pa.py_buffer(np.ascontiguousarray(raw[cuts[0] : cuts[-1]]))
+        found = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts - cuts[0]).astype(np.int32)), body]).dictionary_encode()
+        keys = found.dictionary.to_pylist()
+        if self.taken > self.room:
             self._clear()
-        at = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
-        if self.known.new:
-            self._learn()
-        begin, size = self.begin[at], self.size[at]
-        end = np.cumsum(size)
-        ids = self.flat[np.repeat(begin - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
-        bounds = np.cumsum([0, *map(len, cuts)])
-        total = np.concatenate([[0], end])[bounds]
-        return ids, np.diff(total)
+        slot = list(map(self.known.get, keys))
+        if None in slot:
+            self._learn([k for k, at in zip(keys, slot, strict=True) if at is None])
+            slot = list(map(self.known.__getitem__, keys))
+        return np.array(slot, dtype=np.int64)[found.indices.to_numpy()]
+
+    def batch(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another (uint32), and the number of ids of each text."""
+        if col.null_count:
+            col = col.fill_null("")
+        marked = [pc.match_substring(col, t).to_numpy(zero_copy_only=False) for t in self.special]
+        if marked and np.any(marked):
+            return self._one_by_one(col, np.any(marked, axis=0))
+        raw, offs = text_bytes(col)
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(col), np.int64)
+        cuts, parts, counts = cut_places(raw, offs), [], []
+        if not self.blanks:  # case and white space don't count; a letter before a combining mark is left as it is
+            raw = np.where(np.append(raw[1:], 0) < 128, _LOWER[raw], raw)
+        for at in range(0, len(cuts) - 1, _CHUNK):
+            slot = self._slots(raw, cuts[at : at + _CHUNK + 1])
+            begin, size = self.begin[slot], self.size[slot]
+            end = np.cumsum(size)
+            parts.append(self.flat[np.repeat(begin - (end - size), size) + np.arange(end[-1])])
+            counts.append(size)
+        total = np.concatenate([[0], np.cumsum(np.concatenate(counts))])[np.searchsorted(cuts, offs)]
+        return np.concatenate(parts), np.diff(total)
+
+    def _one_by_one(self, col: pa.Array, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``batch``, with the marked texts encoded whole by the library."""
+        ids = []
+        for i, whole in enumerate(marked.tolist()):
+            ids.append(np.array(self.tokenizer.encode(col[i].as_py(), add_special_tokens=False).ids, np.uint32) if whole else self.batch(col.slice(i, 1))[0])
+        return np.concatenate(ids), np.array(list(map(len, ids)), dtype=np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -270,7 +322,7 @@ def unshard(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, counts, decode(offsets, words, total, block)
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, shard_bytes: int = 1 << 20) -> None:
+def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, shard_bytes: int = 4 << 20) -> None:
     """Writes the ids of all texts, each followed by ``end_id``, in ascending doc_id order.
 
     Needs ``doc_id`` and ``text``; other columns are ignored. A null or empty text has only
@@ -283,7 +335,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, sh
         enc, done, part = encoder(tokenizer), 0, TaskContext.get().partitionId()
         for batch in batches:
             for sub in pieces(batch, "text", shard_bytes):
-                ids, n = enc.batch(sub.column(1).to_pylist())
+                ids, n = enc.batch(sub.column(1))
                 ends = np.cumsum(n)
                 full = np.insert(ids, ends, np.uint32(end_id))
                 doc = sub.column(0).to_numpy(zero_copy_only=False)
@@ -295,7 +347,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, sh
 
     slim = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, "part int, before long, ids long, shard binary").write.parquet(path)
+    map_arrow(ordered, run, "part int, before long, ids long, shard binary").write.parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
@@ -319,7 +371,7 @@ def read_tokens(spark, path: str) -> DataFrame:
                     [pa.array(doc), pa.array(end - n + base[part] + before), pa.array(n.astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    return files.select("part", "before", "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(files.select("part", "before", "shard"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None) -> DataFrame:
