@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import pieces
+from loomwork.llm.kernels import map_arrow, pieces
 from loomwork.llm.tokens import encoder
 from loomwork.session import cut
 
@@ -32,8 +33,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            for sub in pieces(batch, "text", 1 << 21):
-                ids, n = enc.batch(sub.column(1).to_pylist())
+            for sub in pieces(batch, "text", 4 << 20):
+                ids, n = enc.batch(sub.column(1))
                 full = np.insert(ids, np.cumsum(n), np.uint32(end_id))
                 n = n + 1
                 begin = np.cumsum(n) - n
@@ -50,7 +51,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
                 )
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(run, PIECES)
+    return map_arrow(slim, run, PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
@@ -97,14 +98,17 @@ def pack(
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
 
     ``max_docs`` (pieces a sequence) and ``max_cost`` (sum of squared lengths) bind only if
-    given; a piece that alone costs over ``max_cost`` is an error of the parameters. Null and
+    given; where ``max_cost`` doesn't allow a piece of ``capacity`` tokens, documents are cut
+    into pieces of as many as it does, and a ``max_cost`` under 1 is an error. Pieces of one
+    length are packed by doc_id, then piece. A long text is encoded piece by piece. Null and
     empty texts are packed as their end id; a null doc_id is kept; rows that repeat are
     packed as often as they occur; an empty table gives no rows; other columns are ignored.
     """
     max_docs, max_cost = max_docs or capacity, max_cost or capacity * capacity
-    if max_cost < capacity * capacity:
-        raise ValueError("max_cost must allow one full piece")
-    made = cut(token_pieces(docs, tokenizer, capacity, end_id))
+    if max_cost < 1:
+        raise ValueError("max_cost must allow a piece of one token")
+    most = min(capacity, isqrt(max_cost))
+    made = cut(token_pieces(docs, tokenizer, most, end_id))
     rest = made.where(F.col("length") < capacity)
     shards = max(1, round(rest.count() / shard_rows))
 
