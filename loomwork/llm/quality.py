@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import Words, mix, pieces
+from loomwork.llm.kernels import Words, map_arrow, mix, pieces
 from loomwork.llm.sums import dense_sum
 
 BINS, DIM, NONZERO, REACH = 1 << 14, 64, 2, 2
+#: Words taken at once.
+_RUN = 1 << 16
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -38,46 +40,51 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     places, signs = _index_vectors()
 
     def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        for sub in pieces(batch, "text", 1 << 22):
+        for sub in pieces(batch, "text"):
             words, t = _tokens(sub.column(0))
             row = words.row
-            at, sign = [], []
-            for step in range(1, REACH + 1):
-                same = row[step:] == row[:-step]
-                left, right = t[:-step][same], t[step:][same]
-                for a, b in ((left, right), (right, left)):
-                    for j in range(NONZERO):
-                        at.append(a * DIM + places[b, j])
-                        sign.append(signs[b, j])
-            if at:
-                total += np.bincount(np.concatenate(at), np.concatenate(sign), minlength=BINS * DIM).reshape(BINS, DIM).astype(np.float32)
+            for at in range(0, len(t), _RUN):  # pairs whose left word is in the run
+                near, sign = [], []
+                for step in range(1, REACH + 1):
+                    left, right = slice(at, min(at + _RUN, len(t) - step)), slice(at + step, min(at + _RUN, len(t) - step) + step)
+                    same = row[left] == row[right]
+                    x, y = t[left][same], t[right][same]
+                    for a, b in ((x, y), (y, x)):
+                        for j in range(NONZERO):
+                            near.append(a * DIM + places[b, j])
+                            sign.append(signs[b, j])
+                total += np.bincount(np.concatenate(near), np.concatenate(sign), minlength=BINS * DIM).reshape(BINS, DIM).astype(np.float32)
 
     vectors = dense_sum(docs.select(F.coalesce("text", F.lit("")).alias("text")), add, (BINS, DIM))
     return vectors / np.maximum(1e-6, np.sqrt((vectors**2).sum(axis=1, keepdims=True)))
 
 
 def pooled(col: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """One row of features for each text; without words all are zero."""
+    """One row of features for each text; without words all are zero. Words are taken in runs, so memory doesn't follow the longest text."""
     words, t = _tokens(col)
-    n = len(col)
-    out = np.zeros((n, 2 * DIM + 4), dtype=np.float32)
+    n, row = len(col), words.row
     size = np.diff(words.first)
+    total, square, near = np.zeros((n, DIM)), np.zeros((n, DIM)), np.zeros(n)
+    for at in range(0, len(t), _RUN // 8):
+        to = min(len(t), at + _RUN // 8)
+        v = vectors[t[max(0, at - 1) : to]]  # with the word before
+        like = np.einsum("ij,ij->i", v[1:], v[:-1])
+        follows = np.flatnonzero(row[max(1, at) : to] == row[max(1, at) - 1 : to - 1])
+        near += np.bincount(row[max(1, at) : to][follows], like[follows], minlength=n)
+        v = v[len(v) - (to - at) :]
+        begin = np.flatnonzero(np.append(True, row[at + 1 : to] != row[at : to - 1]))
+        total[row[at:to][begin]] += np.add.reduceat(v, begin, axis=0)
+        square[row[at:to][begin]] += np.add.reduceat(v * v, begin, axis=0)
+    out = np.zeros((n, 2 * DIM + 4), dtype=np.float32)
     full = np.flatnonzero(size)
-    if not len(full):
-        return out
-    v, row, count = vectors[t], words.row, size[full][:, None]
-    begin = words.first[:-1][full]
-    mean = np.add.reduceat(v, begin, axis=0) / count
-    square = np.add.reduceat(v * v, begin, axis=0) / count
-    near = np.zeros(len(t), dtype=np.float32)
-    near[1:] = np.where(row[1:] == row[:-1], (v[1:] * v[:-1]).sum(axis=1), 0)
-    distinct = np.bincount(np.unique(row * BINS + t) // BINS, minlength=n)[full]
+    count = size[full]
+    mean = total[full] / count[:, None]
     out[full, :DIM] = mean
-    out[full, DIM : 2 * DIM] = np.sqrt(np.maximum(0, square - mean * mean))
-    out[full, 2 * DIM] = np.add.reduceat(near, begin) / count[:, 0]
-    out[full, 2 * DIM + 1] = distinct / count[:, 0]
-    out[full, 2 * DIM + 2] = np.log1p(count[:, 0]) / 10
-    out[full, 2 * DIM + 3] = np.add.reduceat(words.punct.astype(np.float32), begin) / count[:, 0]
+    out[full, DIM : 2 * DIM] = np.sqrt(np.maximum(0, square[full] / count[:, None] - mean * mean))
+    out[full, 2 * DIM] = near[full] / count
+    out[full, 2 * DIM + 1] = np.bincount(np.unique(row * BINS + t) // BINS, minlength=n)[full] / count
+    out[full, 2 * DIM + 2] = np.log1p(count) / 10
+    out[full, 2 * DIM + 3] = np.bincount(row, words.punct, minlength=n)[full] / count
     return out
 
 
@@ -135,7 +142,8 @@ def held_out(col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_train: int = 20_000) -> Network:
     """Fits on at most ``max_train`` labelled rows, the first by a hash of doc_id, none of them held out.
 
-    Rows of ``labels`` without doc_id or quality are ignored; of repeats the least label counts.
+    Rows of ``labels`` without doc_id or quality are ignored; of repeats the least label counts,
+    of documents that share a doc_id the least text. Ties of the hash go to the smaller doc_id.
     """
     known = labels.where("doc_id is not null and quality is not null").where(~held_out())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
@@ -147,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_train: in
                 yield pa.RecordBatch.from_arrays([sub.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["label", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(known), "doc_id").select("label", "text").mapInArrow(run, "label int, x binary").toArrow()
+    sample = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+    rows = map_arrow(sample.select("label", "text"), run, "label int, x binary").toArrow()
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32).reshape(-1, 2 * DIM + 4)
     y = rows.column("label").to_numpy()
     order = np.lexsort((*x.T[:3], y))  # arrival order must not matter
@@ -160,6 +169,7 @@ def quality(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Data
     Null and empty texts are scored as texts without words. Without labels of both kinds
     every score is the share of label 1 among them (0.5: no labels). Rows that repeat are
     returned as often as they occur; an empty table gives no rows; other columns are ignored.
+    The longest text costs a small multiple of its bytes, as its words are pooled run by run.
     """
     vectors = word_vectors(docs)
     net = train(docs, labels, vectors, max_train)
@@ -170,5 +180,5 @@ def quality(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Data
                 yield pa.RecordBatch.from_arrays([sub.column(0), pa.array(net.score(pooled(sub.column(1), vectors).astype(np.float64)))], names=["doc_id", "score"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    scored = slim.mapInArrow(run, "doc_id long, score double")
+    scored = map_arrow(slim, run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

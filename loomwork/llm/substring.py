@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import Words, mix, pieces, shingles, sliding_min
+from loomwork.llm.kernels import Words, map_arrow, mix, pieces, shingles, sliding_min
 from loomwork.operators.graph import components
 from loomwork.session import cut, new_path
 
@@ -132,7 +132,7 @@ def units(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
                     names=["h", "doc_id", "at", "size", "line", "bands", "sketch"],
                 )
 
-    return docs.mapInArrow(run, UNITS)
+    return map_arrow(docs, run, UNITS)
 
 
 def _shingle_sets(docs: DataFrame, min_words: int) -> DataFrame:
@@ -152,7 +152,7 @@ def _shingle_sets(docs: DataFrame, min_words: int) -> DataFrame:
                     [pa.array(_content(words, begin, end).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], names=["h", "set"]
                 )
 
-    return docs.mapInArrow(run, "h long, set array<long>")
+    return map_arrow(docs, run, "h long, set array<long>")
 
 
 def _near(a: str, b: str, similarity: float) -> Column:

@@ -17,24 +17,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import Words, pieces
+from loomwork.llm.kernels import Words, map_arrow, pieces
 from loomwork.llm.sums import dense_sum
 
 BINS = 1 << 19
 PREFIXES = (4, 5, 6)
+#: Words taken at once.
+_RUN = 1 << 16
 GRADES = 3
 
 
-def _features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bin of every word and word beginning, with repeats."""
-    words = Words(col, lower=True, split="alnum")
+def _features(col: pa.Array, slot: np.ndarray | None = None) -> np.ndarray:
+    """Distinct ``row * BINS + bin`` of every word and word beginning; with ``slot`` of those bins alone that have one.
+
+    Words are taken in runs, so a long text costs what its distinct features take.
+    """
+    words, found = Words(col, lower=True, split="alnum"), []
     row = words.row
-    rows, bins = [row], [words.hash]
-    for size in PREFIXES:
-        long, h = words.prefix(size)
-        rows.append(row[long])
-        bins.append(h ^ np.uint64(size * 0x1F3D5B79))
-    return np.concatenate(rows), (np.concatenate(bins) >> np.uint64(7)).astype(np.int64) % BINS
+    for at in range(0, max(1, len(row)), _RUN):
+        some = slice(at, at + _RUN)
+        keys = [(row[some], words.hash[some])]
+        for size in PREFIXES:
+            long, h = words.prefix(size, some)
+            keys.append((row[some][long], h ^ np.uint64(size * 0x1F3D5B79)))
+        for r, h in keys:
+            bins = (h >> np.uint64(7)).astype(np.int64) % BINS
+            if slot is not None:
+                m = np.flatnonzero(slot[bins] >= 0)
+                r, bins = r[m], bins[m]
+            found.append(np.unique(r * BINS + bins))
+    return np.unique(np.concatenate(found))
 
 
 class OrdinalModel:
@@ -48,11 +60,8 @@ class OrdinalModel:
 
     def present(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (row, feature) pairs of a column of texts."""
-        row, at = _features(col)
-        f = self.slot[at]
-        m = np.flatnonzero(f >= 0)
-        pair = np.unique(row[m] * max(1, len(self.weights)) + f[m])
-        return pair // max(1, len(self.weights)), pair % max(1, len(self.weights))
+        pair = _features(col, self.slot)
+        return pair // BINS, self.slot[pair % BINS]
 
     def fit(self, row: np.ndarray, feature: np.ndarray, grade: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 2e-4) -> OrdinalModel:
         """Full-batch Adam on the mean log-likelihood of all thresholds' binary outcomes."""
@@ -87,20 +96,21 @@ class OrdinalModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, max_features: int = 8_192) -> OrdinalModel:
-    """Fits on at most ``max_train`` labelled rows, the first by a hash of doc_id.
+    """Fits on at most ``max_train`` labelled rows, the first by a hash of doc_id, with the ``max_features`` strongest features.
 
-    Rows of ``labels`` without doc_id or label are ignored; of repeats the greatest label counts.
+    Rows of ``labels`` without doc_id or label are ignored; of repeats the greatest label counts,
+    of documents that share a doc_id the least text. Ties of the hash go to the smaller doc_id,
+    of the features' strength to the smaller bin.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(known), "doc_id").select("label", "text")
+    sample = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select("label", "text")
 
     def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        for sub in pieces(batch, "text", 1 << 21):
+        for sub in pieces(batch, "text"):
             label = sub.column(0).to_numpy()
-            row, at = _features(sub.column(1))
-            pair = np.unique(row * BINS + at)
+            pair = _features(sub.column(1))
             np.add.at(total, (pair % BINS, label[pair // BINS]), 1)
             total[0, 2] += (label == 0).sum()
             total[0, 3] += (label == 1).sum()
@@ -122,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, max_featu
                 lists = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([sub.column(0), pa.array(lists, pa.binary())], names=["label", "features"])
 
-    rows = sample.mapInArrow(run, "label int, features binary").toArrow()
+    rows = map_arrow(sample, run, "label int, features binary").toArrow()
     label = rows.column("label").to_numpy()
     lists = [np.frombuffer(x, dtype=np.int32) for x in rows.column("features").to_pylist()]
     if not len(bins) or len(set(label.tolist())) < 2:
@@ -143,10 +153,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     severity: the expected grade, 0 to 3; grade: the likeliest; toxic: 1 if p_toxic >= 0.5.
     Null and empty texts hold no features. Without labels of both kinds nothing is toxic.
     Rows that repeat are returned as often as they occur; an empty table gives no rows;
-    other columns are ignored.
+    other columns are ignored. The longest text costs a small multiple of its bytes.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(_scorer(train(docs, labels, **options)), "doc_id long, severity double, grade int, p_toxic double, toxic int")
+    return map_arrow(slim, _scorer(train(docs, labels, **options)), "doc_id long, severity double, grade int, p_toxic double, toxic int")
 
 
 def _scorer(model: OrdinalModel):
@@ -172,4 +182,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             for sub in pieces(batch, "text"):
                 yield sub.filter(pa.array(model.predict(sub.column(sub.schema.get_field_index("text")))[:, 0] < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
