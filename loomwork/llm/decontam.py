@@ -1,34 +1,44 @@
 """Benchmark decontamination by latent semantic retrieval and subsequence checks.
 
-1. One pass over all texts counts in how many documents each hashed word occurs and
-   adds every passage (a run of ``PASSAGE`` words) to a random column, with a random sign,
-   of a words x ``SKETCH`` matrix: a sparse random projection of the passages. Scaled by
-   inverse document frequency it is the range sketch of a randomised SVD of the TF-IDF
-   passages; its leading left singular vectors, without the first ``COMMON`` (what all
-   passages of a language share) and scaled to equal variance, span the latent space.
+1. Distributed randomised SVD of the corpus' TF-IDF passages (runs of ``PASSAGE`` words),
+   in two passes over all texts. The first counts the documents of each hashed word and
+   adds every passage to a random column, with a random sign, of a words x ``SKETCH``
+   matrix; scaled by inverse document frequency and made orthonormal it spans the range
+   (Q). The second projects every passage onto it and sums the products B B', B = Q'A,
+   whose eigenvectors turn Q into the left singular vectors. The first ``COMMON`` (what
+   all passages of a language share) are left out, the next ``RANK`` scaled alike.
 2. A word's latent vector is its row of that basis times its weight, a run of words is
-   the sum of its words. Windows of about each benchmark item's length slide over every
-   text; those whose cosine with an item reaches ``cosine`` are candidates, unless they
-   hold fewer words of the item or its answer than step 3 asks for.
+   the sum of its words. Windows of each benchmark item's length begin at every
+   ``STEP``-th word of a text; those whose cosine with an item reaches ``cosine`` are
+   candidates. Only windows near an anchor are looked at, and candidates that can't pass
+   step 3 are dropped by counting words: neither loses a match. Anchors are an item's
+   rarest words, so many that a text with none of them can't match.
 3. A candidate is confirmed where a longest common subsequence holds at least ``copy`` of
    the item's words, or at least ``paraphrase`` of them and its answer, the last ``ANSWER``
    words of the item, all but one of them in order.
+
+Windows are laid in every text for itself, so a result depends on nothing but the text,
+the items and the corpus statistics. Words are taken in runs of bounded length, so the
+longest text costs a small multiple of its bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.kernels import Words, mix, pieces
+from loomwork.llm.kernels import Words, map_arrow, mix, pieces
 from loomwork.llm.sums import dense_sum
+from loomwork.session import new_path
 
-BINS, SKETCH, RANK, COMMON, PASSAGE, STEP, ANSWER = 1 << 12, 192, 32, 24, 64, 4, 5
+BINS, SKETCH, RANK, COMMON, PASSAGE, STEP, ANSWER = 1 << 12, 96, 32, 24, 64, 4, 5
+#: Columns of the first pass beside the sketch that count words in finer bins, for the choice of anchors.
+FINE = 64
+_RUN, _PAIRS = 1 << 16, 1 << 17
 
 
 def _words(col: pa.Array) -> tuple[Words, np.ndarray]:
@@ -36,6 +46,10 @@ def _words(col: pa.Array) -> tuple[Words, np.ndarray]:
     return words, (words.hash >> np.uint64(9)).astype(np.int64) % BINS
 
 
+def _fine(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(21)).astype(np.int64) % (BINS * FINE)
+
+
 def _places(a: list[int]) -> dict[int, int]:
     """For each word of ``a`` the bits of its places."""
     masks: dict[int, int] = {}
@@ -59,225 +73,304 @@ def lcs(a: list[int], b: list[int]) -> int:
     return _common(_places(a), len(a), b)
 
 
-def _sliding(x: np.ndarray, w: int) -> np.ndarray:
-    """The sums of every ``w`` consecutive rows, by doubling."""
-    n, out, at, size = len(x) - w + 1, None, 0, 1
-    while w:
-        if w & 1:
-            out = x[at : at + n] if out is None else out + x[at : at + n]
-            at += size
-        w >>= 1
-        if w:
-            x, size = x[:-size] + x[size:], size * 2
-    return out
+def _ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range each number belongs to, and the numbers, of ranges laid one after another."""
+    of = np.repeat(np.arange(len(begin)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + begin[of]
 
 
-def _slack(length: int) -> int:
-    """Words looked at on both sides of a window."""
-    return max(STEP * 2, length // 4)
+def _passages(words: Words) -> np.ndarray:
+    """The number of each word's passage within its text."""
+    return (np.arange(len(words.hash)) - words.first[:-1][words.row]) // PASSAGE
 
 
-def sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Latent vectors of all word bins (BINS x RANK), and their document frequencies."""
+def _sketch_pass(texts: DataFrame) -> np.ndarray:
+    """BINS x (SKETCH + 2 + FINE): the range sketch, documents by bin, texts (first row), words by finer bin."""
 
     def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        for sub in pieces(batch, "text", 1 << 22):
+        for sub in pieces(batch, "text"):
             words, f = _words(sub.column(0))
-            row = words.row
+            total[0, SKETCH + 1] += sub.num_rows
             if not len(f):
                 continue
+            row, passage = words.row, _passages(words)
             total[:, SKETCH] += np.bincount(np.unique(row * BINS + f) % BINS, minlength=BINS)
-            total[0, SKETCH + 1] += sub.num_rows
-            passage = (np.arange(len(f)) - words.first[:-1][row]) // PASSAGE
-            head = words.hash[np.minimum(words.first[:-1][row] + passage * PASSAGE, len(f) - 1)]
+            head = words.hash[words.first[:-1][row] + passage * PASSAGE]
             h = mix(head + passage.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             column, sign = (h % np.uint64(SKETCH)).astype(np.int64), np.where((h >> np.uint64(50)) & np.uint64(1), 1.0, -1.0)
-            total[:, :SKETCH] += np.bincount(f * SKETCH + column, sign, minlength=BINS * SKETCH).reshape(BINS, SKETCH)
+            for at in range(0, len(f), _RUN * 4):
+                some = slice(at, at + _RUN * 4)
+                total[:, :SKETCH] += np.bincount(f[some] * SKETCH + column[some], sign[some], minlength=BINS * SKETCH).reshape(BINS, SKETCH)
+                total[:, SKETCH + 2 :] += np.bincount(_fine(words.hash[some]), minlength=BINS * FINE).reshape(BINS, FINE)
+
+    return dense_sum(texts, add, (BINS, SKETCH + 2 + FINE))
 
-    total = dense_sum(docs.select(F.coalesce("text", F.lit("")).alias("text")), add, (BINS, SKETCH + 2))
-    df, n = total[:, SKETCH], max(1.0, float(total[0, SKETCH + 1]))
-    idf = np.maximum(0.0, np.log((n + 1) / (df + 1)))
-    z = idf[:, None] * total[:, :SKETCH].astype(np.float64)
-    values, right = np.linalg.eigh(z.T @ z)
-    lead = np.argsort(-values)[COMMON : COMMON + RANK]
-    basis = z @ right[:, lead] / np.maximum(values[lead], 1e-9)  # singular vectors over singular values
-    return (idf[:, None] * basis * np.sqrt(max(values.max(), 1e-9))).astype(np.float32), df
 
+def _gram_pass(texts: DataFrame, weighted: np.ndarray) -> np.ndarray:
+    """B B' over all passages; ``weighted``: Q, its rows times their weights."""
+    padded = np.concatenate([weighted, np.zeros((1, SKETCH), weighted.dtype)])
 
-@dataclass
-class Item:
-    item_id: int
-    words: list[int]
-    places: dict[int, int]
+    def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for sub in pieces(batch, "text"):
+            words, f = _words(sub.column(0))
+            if not len(f):
+                continue
+            at = np.arange(len(f)) - words.first[:-1][words.row]
+            begin = np.append(np.flatnonzero(at % PASSAGE == 0), len(f))
+            f = np.append(f, np.full(PASSAGE, BINS))
+            for lo in range(0, len(begin) - 1, 64):
+                edge = begin[lo : lo + 65, None]
+                word = edge[:-1] + np.arange(PASSAGE)
+                b = padded[np.where(word < edge[1:], f[word], BINS)].sum(axis=1)
+                total += b.T @ b
+
+    return dense_sum(texts, add, (SKETCH, SKETCH))
+
+
+def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Latent vectors of all word bins (BINS x RANK), and how often words of each finer bin occur."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    total = _sketch_pass(texts)
+    df, n = total[:, SKETCH], max(1.0, float(total[0, SKETCH + 1]))
+    idf = np.maximum(0.0, np.log((n + 1) / (df + 1)))[:, None]
+    q, _ = np.linalg.qr(idf * total[:, :SKETCH].astype(np.float64))
+    values, turn = np.linalg.eigh(_gram_pass(texts, (idf * q).astype(np.float32)).astype(np.float64))
+    lead = np.argsort(-values)[COMMON : COMMON + RANK]
+    scale = np.sqrt(max(values.max(), 1e-9) / np.maximum(values[lead], 1e-9 * max(values.max(), 1e-9)))
+    return (idf * (q @ turn[:, lead]) * scale).astype(np.float32), total[:, SKETCH + 2 :].ravel()
 
 
 class Finder:
     """Looks for a block of benchmark items in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], latent: np.ndarray, cosine: float, copy: float, paraphrase: float):
-        self.latent, self.cosine, self.copy, self.paraphrase = latent, cosine, copy, paraphrase
+    def __init__(self, items: list[tuple[int, str]], latent: np.ndarray, often: np.ndarray, cosine: float, copy: float, paraphrase: float):
+        self.axes, self.cosine, self.copy, self.paraphrase = np.ascontiguousarray(latent.T), cosine, copy, paraphrase
+        self.item_ids = [i for i, _ in items]
         words, f = _words(pa.array([t for _, t in items], pa.string()))
-        self.items = [Item(i, w := words.hash[a:b].tolist(), _places(w)) for (i, _), a, b in zip(items, words.first, words.first[1:], strict=False)]
         self.known, name = np.unique(words.hash, return_inverse=True)
+        self.name, self.first = name.astype(np.int32), words.first
+        self.size = np.diff(words.first)
+        self.need = np.ceil(np.outer((copy, paraphrase), self.size) - 1e-9).astype(np.int64)
         vec = np.zeros((len(items), latent.shape[1]), dtype=np.float32)
         np.add.at(vec, words.row, latent[f])
         self.vec = vec / np.maximum(1e-9, np.sqrt((vec * vec).sum(axis=1, keepdims=True)))
-        self.size = np.array([len(x.words) for x in self.items])
-        classes: dict[int, list[list[int]]] = {}
-        for i in np.flatnonzero(self.size > 0):
-            parts = classes.setdefault(self._class(int(self.size[i])), [[]])
-            if parts[-1] and (len(parts[-1]) == 128 or self.size[[*parts[-1], i]].sum() > 1 << 14):
-                parts.append([])
-            parts[-1].append(i)
-        self.classes = {n: [self._table(part, name, words.first) for part in parts] for n, parts in classes.items()}
-
-    @staticmethod
-    def _table(part: list[int], name: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Items, their distinct words, which item holds which of these, and a bit for each of its answer's places; the last row is for all other words."""
-        own = np.unique(np.concatenate([name[first[i] : first[i + 1]] for i in part]))
-        holds = np.zeros((len(own) + 1, len(part)), dtype=np.uint8)
-        answers = np.zeros_like(holds)
-        for k, i in enumerate(part):
-            at = np.searchsorted(own, name[first[i] : first[i + 1]])
-            holds[at, k] = 1
-            for bit, x in enumerate(at[-ANSWER:]):
-                answers[x, k] |= 1 << bit
-        return np.asarray(part), own, holds, answers
-
-    @staticmethod
-    def _class(size: int) -> int:
-        """Window length in steps: 2, 3, 4, 5, 6, 8, 10, 12, 15, ..."""
-        n = 2
-        while n * STEP * 1.12 < size:
-            n = max(n + 1, int(n * 1.25))
-        return n
-
-    def candidates(self, f: np.ndarray, known: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Window length in words, starts and items of the windows that are near an item.
-
-        Windows that, slack included, hold too few words of the item or its answer for any match are left out.
-        """
-        v = self.latent[f]
-        pad = -len(v) % STEP
-        if pad:
-            v = np.concatenate([v, np.zeros((pad, v.shape[1]), dtype=np.float32)])
-            known = np.concatenate([known, np.full(pad, len(self.known))])
-        sums = v.reshape(-1, STEP, v.shape[1]).sum(axis=1)
-        for n, parts in self.classes.items():
-            step = 1 if n <= 8 else 2
-            more = -(-_slack(n * STEP) // STEP)
-            win = _sliding(np.concatenate([sums, np.zeros((n - 1, v.shape[1]), np.float32)]), n)[::step]
-            size = self.cosine * np.maximum(np.sqrt(np.einsum("ij,ij->i", win, win)), 1e-6)
-            count = np.uint16 if n < 1 << 12 else np.int64
-            for items, own, holds, answers in parts:
-                row = np.full(len(self.known) + 1, len(own), dtype=np.int32)
-                row[own] = np.arange(len(own))
-                word = row[known]
-                held = np.zeros((len(sums) + 2 * more + n - 1, len(items)), dtype=count)
-                held[more : more + len(sums)] = sum(holds[word[k::STEP]] for k in range(STEP))
-                held = _sliding(held, n + 2 * more)[::step]
-                part, whole = (np.ceil(least * self.size[items] - 1e-9).astype(count) for least in (min(self.copy, self.paraphrase), self.copy))
-                at, which = np.nonzero((held >= part) & (win @ self.vec[items].T >= size[:, None]))
-                may = held[at, which] >= whole[which]
-                rest = np.flatnonzero(~may)
-                padded = np.concatenate([np.full(more * STEP, len(own), np.int32), word, np.full((n + more) * STEP, len(own), np.int32)])
-                width = np.arange((n + 2 * more) * STEP)
-                take = max(1, (1 << 22) // len(width))
-                for lo in range(0, len(rest), take):
-                    some = rest[lo : lo + take]
-                    bits = np.bitwise_or.reduce(answers[padded[at[some, None] * step * STEP + width], which[some, None]], axis=1)
-                    may[some] = np.bitwise_count(bits) >= np.minimum(ANSWER, self.size[items[which[some]]]) - 1
-                yield n * STEP, at[may] * step * STEP, items[which[may]]
+        self.slack = np.maximum(STEP * 2, self.size // 4)
+        self._anchor(often[_fine(words.hash)])
+        #: A table that holds (item, word) pairs by hash: says no only where an item lacks a word.
+        self.bits = max(16, int(np.ceil(np.log2(len(name) + 1))) + 6)
+        self.has = np.zeros(1 << self.bits, dtype=bool)
+        self.has[self._pair(words.row, self.name)] = True
+        self.answer = np.minimum(ANSWER, self.size)
+        self.low = np.zeros(1 << 16, dtype=bool)
+        self.low[(self.known & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self._masks: dict[int, dict[int, int]] = {}
+
+    def _pair(self, item: np.ndarray, name: np.ndarray) -> np.ndarray:
+        return (mix(item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + name.astype(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _anchor(self, often: np.ndarray) -> None:
+        """Items by anchor word. A copy shares ``need`` of n words, so one of the n - need + 1 rarest; a paraphrase
+        all but one word of the answer, so one of its two rarest, and of the rarest of all words besides."""
+        pairs = []
+        for i, (n, at) in enumerate(zip(self.size.tolist(), self.first.tolist(), strict=False)):
+            if not n:
+                continue
+            rare = np.argsort(often[at : at + n], kind="stable")
+            answer = rare[rare >= n - ANSWER][: min(2, n)]
+            chosen = rare[: n - self.need[0, i] + 1]
+            loose = rare[: n - self.need[1, i] + 1]
+            heavy = often[at + answer].sum() > often[at + loose].sum()
+            pairs += [(x, i) for x in np.unique(self.name[at + np.concatenate([chosen, loose if heavy else answer])]).tolist()]
+        pairs.sort()
+        self.anchor_items = np.array([i for _, i in pairs], dtype=np.int64)
+        self.anchor_first = np.searchsorted(np.array([x for x, _ in pairs], dtype=np.int64), np.arange(len(self.known) + 1))
+
+    def names(self, h: np.ndarray) -> np.ndarray:
+        """The number of every word that some item holds, -1 for others."""
+        out = np.full(len(h), -1, dtype=np.int32)
+        if len(self.known):
+            may = np.flatnonzero(self.low[(h & np.uint64(0xFFFF)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.known, h[may]), len(self.known) - 1)
+            out[may] = np.where(self.known[at] == h[may], at, -1)
+        return out
+
+    def windows(self, names: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Items and starts (word numbers, ascending) of all windows that, slack included, hold an anchor of the item."""
+        at = np.flatnonzero(names >= 0)
+        some = self.anchor_first[names[at] + 1] - self.anchor_first[names[at]]
+        at, some = at[some > 0], some[some > 0]
+        ends, lo = np.cumsum(some), 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _PAIRS // 4, "right")))
+            yield self._windows(at[lo:hi], some[lo:hi], names, first)
+            lo = hi
+
+    def _windows(self, at: np.ndarray, some: np.ndarray, names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        of, entry = _ranges(self.anchor_first[names[at]], some)
+        place, item = at[of], self.anchor_items[entry]
+        text = np.searchsorted(first, place, "right") - 1
+        begin = first[text]
+        # windows [s, s + n), s a multiple of STEP from the text's begin, with s - slack <= place < s + n + slack
+        lo = np.maximum(0, -(-(place - begin - self.size[item] - self.slack[item] + 1) // STEP))
+        hi = np.minimum(place - begin + self.slack[item], first[text + 1] - begin - 1) // STEP
+        of, step = _ranges(lo, np.maximum(0, hi - lo + 1))
+        key = np.unique((begin[of] + step * STEP) * len(self.size) + item[of])
+        return key % len(self.size), key // len(self.size)
+
+    def near(self, f: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which windows' cosine with their item reaches the bound; starts ascend."""
+        out, a = np.zeros(len(item), dtype=bool), 0
+        while a < len(item):
+            base = int(start[a])
+            b = int(np.searchsorted(start, base + _RUN))
+            run = f[base : int(end[a:b].max())]
+            sums = np.zeros((len(self.axes), len(run) + 1))
+            for axis, total in zip(self.axes, sums, strict=True):
+                np.cumsum(axis[run], out=total[1:])
+            for lo in range(a, b, _PAIRS // 4):
+                some = slice(lo, min(b, lo + _PAIRS // 4))
+                win = sums[:, end[some] - base] - sums[:, start[some] - base]
+                norm = np.sqrt(np.einsum("ij,ij->j", win, win))
+                out[some] = np.einsum("ij,ji->j", win, self.vec[item[some]]) >= self.cosine * np.maximum(norm, 1e-6)
+            a = b
+        return out
+
+    def enough(self, names: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Which ranges hold enough words of their item, repeats bounded by the item's, for a copy or a paraphrase."""
+        out = np.zeros(len(item), dtype=bool)
+        width = hi - lo
+        ends = np.cumsum(width)
+        at = 0
+        while at < len(item):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS * 4, "right")))
+            of, place = _ranges(lo[at:to], width[at:to])
+            name = names[place]
+            keep = np.flatnonzero(name >= 0)
+            of, name = of[keep], name[keep]
+            keep = self.has[self._pair(item[at:to][of], name)]
+            of, name = of[keep], name[keep]
+            least = self.need.min(axis=0)[item[at:to]]
+            rough = np.bincount(of, minlength=to - at) >= least
+            keep = rough[of]
+            key, count = np.unique(of[keep].astype(np.int64) * len(self.known) + name[keep], return_counts=True)
+            of, name = key // len(self.known), key % len(self.known)
+            good = np.flatnonzero(rough)
+            for i in good.tolist():
+                a, b = np.searchsorted(of, (i, i + 1))
+                out[at + i] = self._may(int(item[at + i]), name[a:b], count[a:b])
+            at = to
+        return out
+
+    def _may(self, item: int, name: np.ndarray, count: np.ndarray) -> bool:
+        own = self.name[self.first[item] : self.first[item + 1]]
+        have = np.zeros(0, dtype=np.int64)
+        kinds, times = np.unique(own, return_counts=True)
+        at = np.minimum(np.searchsorted(name, kinds), max(0, len(name) - 1))
+        have = np.where(name[at] == kinds, np.minimum(times, count[at]), 0) if len(name) else np.zeros(len(kinds), np.int64)
+        total = int(have.sum())
+        if total >= self.need[0, item]:
+            return True
+        k = int(self.answer[item])
+        return total >= self.need[1, item] and int(np.isin(own[-k:], kinds[have > 0]).sum()) >= k - 1
 
     def check(self, i: int, text: list[int]) -> tuple[float, str] | None:
-        """Share of item ``i`` in the words of a window, and how it was found."""
-        item, size = self.items[i], len(self.items[i].words)
-        share = _common(item.places, size, text) / size
-        if share >= self.copy:
-            return share, "copy"
-        answer = item.words[-ANSWER:]
-        if share >= self.paraphrase and lcs(answer, text) >= len(answer) - 1:
-            return share, "paraphrase"
+        """Share of item ``i`` in a run of words (their numbers), and how it was found."""
+        own = self.name[self.first[i] : self.first[i + 1]].tolist()
+        if i not in self._masks:
+            if len(self._masks) > 4_096:
+                self._masks.clear()
+            self._masks[i] = _places(own)
+        found = _common(self._masks[i], len(own), text)
+        if found >= self.need[0, i]:
+            return found / len(own), "copy"
+        answer = own[-ANSWER:]
+        if found >= self.need[1, i] and lcs(answer, text) >= len(answer) - 1:
+            return found / len(own), "paraphrase"
         return None
 
     def find(self, col: pa.Array) -> dict[tuple[int, int], tuple[float, str]]:
         """(text, item): best share and kind."""
         words, f = _words(col)
         out: dict[tuple[int, int], tuple[float, str]] = {}
-        if not len(f):
-            return out
-        known = np.minimum(np.searchsorted(self.known, words.hash), len(self.known) - 1)
-        known = np.where(self.known[known] == words.hash, known, len(self.known))
-        for length, starts, items in self.candidates(f, known):
-            slack = _slack(length)
-            owner = lambda p: np.searchsorted(words.first, np.minimum(p, len(f) - 1), "right") - 1
-            left, right = owner(starts), owner(starts + length - 1)
-            two = right != left
-            doc, at, item = np.concatenate([left, right[two]]), np.concatenate([starts, starts[two]]), np.concatenate([items, items[two]])
-            a, b = np.maximum(words.first[doc], at - slack), np.minimum(words.first[doc + 1], at + length + slack)
-            for d, i, lo, hi in zip(doc.tolist(), item.tolist(), a.tolist(), b.tolist(), strict=True):
-                best = out.get((d, i), (0,))[0]
-                if best < 1 and (hit := self.check(i, words.hash[lo:hi].tolist())) and hit[0] > best:
-                    out[d, i] = hit
+        names = self.names(words.hash)
+        for item, start in self.windows(names, words.first):
+            text = np.searchsorted(words.first, start, "right") - 1
+            keep = self.near(f, item, start, np.minimum(start + self.size[item], words.first[text + 1]))
+            item, start, text = item[keep], start[keep], text[keep]
+            lo = np.maximum(words.first[text], start - self.slack[item])
+            hi = np.minimum(words.first[text + 1], start + self.size[item] + self.slack[item])
+            keep = self.enough(names, item, lo, hi)
+            for i, t, a, b in zip(*(x[keep].tolist() for x in (item, text, lo, hi)), strict=True):
+                best = out.get((t, i), (0,))[0]
+                if best < 1 and (hit := self.check(i, names[a:b].tolist())) and hit[0] > best:
+                    out[t, i] = hit
         return out
 
 
 def _finders(docs: DataFrame, benchmark: DataFrame, cosine: float, copy: float, paraphrase: float, block_items: int) -> Iterator[Finder]:
     """A finder for each block of items that has any words."""
-    latent, _ = sketch(docs)
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    blocks = max(1, -(-items.count() // block_items))
+    blocks = -(-items.count() // block_items)
+    latent, often = latent_space(docs) if blocks else (None, None)
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        finder = Finder([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], latent, cosine, copy, paraphrase)
-        if finder.classes:
+        finder = Finder([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], latent, often, cosine, copy, paraphrase)
+        if finder.size.any():
             yield finder
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 16_384) -> DataFrame:
     """``doc_id, item_id, share, kind`` of every document and benchmark item found in it.
 
-    Items are taken in blocks of ``block_items`` (a proven bound for what is sent to the
-    executors), one pass over the texts each. Null texts and texts without words hold
-    nothing and items without words are found nowhere; items that repeat an item_id are
-    each looked for; documents that share a doc_id are one; rows without doc_id or item_id
-    come back with a null. Empty tables give no rows; other columns are ignored.
+    Items are indexed by their anchors, so one pass over the texts looks for a whole block of
+    ``block_items``; each further block is another pass, written before the next begins, so
+    the driver holds one block. Null texts and texts without words hold nothing and items
+    without words are found nowhere; items that repeat an item_id are each looked for;
+    documents that share a doc_id are one; rows without doc_id or item_id come back with a
+    null; of equal shares the kind "paraphrase" is kept. Empty tables give no rows; other
+    columns are ignored.
     """
     kind = "doc_id long, item_id long, share double, kind string"
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    out = docs.sparkSession.createDataFrame([], kind)
+    out = None
     for finder in _finders(docs, benchmark, cosine, copy, paraphrase, block_items):
-        out = out.union(slim.mapInArrow(_runner(finder), kind))
+        found = map_arrow(slim, _runner(finder), kind)
+        if out is not None:
+            path = new_path(docs.sparkSession, "matches")
+            out.write.parquet(path)
+            found = docs.sparkSession.read.parquet(path).union(found)
+        out = found
+    out = docs.sparkSession.createDataFrame([], kind) if out is None else out
     return out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "kind")).alias("x")).select("doc_id", "item_id", F.round("x.share", 6).alias("share"), "x.kind")
 
 
 def _runner(finder: Finder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sub in pieces(batch, "text", 1 << 18):
+            for sub in pieces(batch, "text"):
                 hits = finder.find(sub.column(1))
                 if hits:
                     doc = pa.array([d for d, _ in hits], pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [sub.column(0).take(doc), pa.array([finder.items[i].item_id for _, i in hits], pa.int64()), pa.array([s for s, _ in hits.values()], pa.float64()), pa.array([k for _, k in hits.values()])],
+                        [sub.column(0).take(doc), pa.array([finder.item_ids[i] for _, i in hits], pa.int64()), pa.array([s for s, _ in hits.values()], pa.float64()), pa.array([k for _, k in hits.values()])],
                         names=["doc_id", "item_id", "share", "kind"],
                     )
 
     return run
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 4_096) -> DataFrame:
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.1, copy: float = 0.8, paraphrase: float = 0.6, block_items: int = 16_384) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with the same columns; each row is judged by its own text."""
     out = docs
     for finder in _finders(docs, benchmark, cosine, copy, paraphrase, block_items):
-        out = out.mapInArrow(_cleaner(finder), docs.schema)
+        out = map_arrow(out, _cleaner(finder), docs.schema)
     return out
 
 
 def _cleaner(finder: Finder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sub in pieces(batch, "text", 1 << 18):
+            for sub in pieces(batch, "text"):
                 keep = np.ones(sub.num_rows, dtype=bool)
                 for d, _ in finder.find(sub.column(sub.schema.get_field_index("text"))):
                     keep[d] = False
