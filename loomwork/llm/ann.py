@@ -2,12 +2,18 @@
 
 Vectors are dealt into index blocks of bounded size, and every block meets every chunk of
 queries once. In a block each of ``projections`` random directions gives one sorted array
-of projected values. A query opens a window around its own value in every array and
-widens all windows together, level by level (virtual rehashing, radius growing by
-``ratio``); a vector that lies in enough windows is verified with its true inner product.
-A level with radius R and half-width ``width * R`` misses a vector within distance R with
-a small known probability, so a query stops once its k-th best verified vector is within
-the level's radius. The last level verifies whatever is left: no candidate is capped.
+of projected values, cut into pages. A query opens a window around its own value in every
+array and widens all windows together, level by level (virtual rehashing, the radius
+growing by ``ratio``); a vector that lies in enough windows is verified with its true
+inner product. A level with radius R and half-width ``width * R`` misses a vector at
+distance R with a small known probability, so a query stops once its k-th best verified
+vector is within the level's radius. The last level verifies whatever is left: no
+candidate is capped. Counting is a comparison of page numbers, a byte each, so a level
+costs a fraction of the exact products of a block of long vectors and never sorts again.
+
+The first radius is a little under that of the best of ``sample`` vectors of the block, so
+a query doesn't walk through levels in which nothing lies; vectors nearer than that lie
+in more windows still.
 
 Inner products become distances by one more coordinate that gives all vectors of a block
 the same norm; scores are always taken on the original vectors in double precision.
@@ -25,6 +31,9 @@ from pyspark.sql import functions as F
 
 from loomwork.session import cut
 
+#: Pages of a sorted array, and the share of the sample's best distance at which a query begins.
+_PAGES, _FIRST = 256, 0.9
+
 
 def threshold(projections: int, width: float, miss: float = 1.9) -> int:
     """Collisions that a vector at the level's radius reaches but for ``miss`` deviations."""
@@ -40,52 +49,62 @@ def exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return out
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, projections: int = 96, width: float = 1.7, ratio: float = 1.12, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query ids and scores of the ``k`` best found vectors of one block, but its own id."""
-    n, d = x.shape
-    norm = np.sqrt((x * x).sum(axis=1))
-    top = norm.max()
-    lifted = np.column_stack([x, np.sqrt(np.maximum(0, top * top - norm * norm))]) / top
-    aim = np.column_stack([q / np.sqrt((q * q).sum(axis=1))[:, None], np.zeros(len(q))])
-    axes = np.random.default_rng(seed).standard_normal((d + 1, projections))
-    values, wanted = lifted @ axes, aim @ axes
-    order = np.argsort(values, axis=0, kind="stable").T.copy()
-    values = np.take_along_axis(values.T, order, axis=1)
-    radii = [0.3]
-    while radii[-1] < 2:
-        radii.append(radii[-1] * ratio)
-    windows = [
-        (np.stack([np.searchsorted(v, w - width * r, "left") for v, w in zip(values, wanted.T, strict=True)]), np.stack([np.searchsorted(v, w + width * r, "right") for v, w in zip(values, wanted.T, strict=True)]))
-        for r in radii
-    ]
-    need, out = threshold(projections, width), []
-    for i in range(len(q)):
-        hits, seen = np.zeros(n, dtype=np.int64), ids == query_ids[i]
-        rough = np.full(n, -np.inf)
-        lo = hi = windows[0][0][:, i]
-        k_here = min(k, n - int(seen.sum()))
-        unit = float(np.sqrt((q[i] * q[i]).sum()) * top)
-        for r, (starts, ends) in zip(radii, windows, strict=True):
-            new_lo, new_hi = starts[:, i], ends[:, i]
-            fresh = [o[a:b] for o, a, b in zip(order, new_lo, lo, strict=True)] + [o[a:b] for o, a, b in zip(order, hi, new_hi, strict=True)]
-            hits += np.bincount(np.concatenate(fresh), minlength=n)
-            lo, hi = new_lo, new_hi
-            found = np.flatnonzero((hits >= need) & ~seen)
-            if r >= 2:
-                found = np.flatnonzero(~seen)
+class Block:
+    """Sorted projections of one block's vectors, and how many vectors queries had to verify."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, projections: int = 160, width: float = 1.5, miss: float = 0.8, ratio: float = 1.06, sample: int = 256, seed: int = 7):
+        n, d = x.shape
+        self.ids, self.x, self.width, self.ratio, self.need, self.verified = ids, x, width, ratio, threshold(projections, width, miss), 0
+        norm = np.sqrt((x * x).sum(axis=1))
+        self.top = norm.max()
+        self.axes = np.random.default_rng(seed).standard_normal((d + 1, projections))
+        values = np.ascontiguousarray((np.column_stack([x, np.sqrt(np.maximum(0, self.top * self.top - norm * norm))]) / self.top @ self.axes).T)
+        order = np.argsort(values, axis=1, kind="stable")
+        pages = min(_PAGES, n)
+        of = (np.arange(n) * pages // n).astype(np.uint8)
+        self.page = np.empty(values.shape, dtype=np.uint8)
+        np.put_along_axis(self.page, order, np.broadcast_to(of, values.shape), axis=1)
+        begin = np.searchsorted(of, np.arange(pages))
+        self.least = np.take_along_axis(values, order[:, begin], axis=1)  # the least value of each page
+        self.sample = x[:: max(1, n // sample)]
+        self.bytes = np.empty(values.shape, dtype=np.uint8), np.empty(values.shape, dtype=bool)
+
+    def hits(self, aim: np.ndarray, reach: float) -> np.ndarray:
+        """In how many windows each vector lies: whole pages, from the one that holds ``aim - reach`` to that of ``aim + reach``."""
+        below = lambda v: np.maximum((self.least <= v[:, None]).sum(axis=1) - 1, 0)
+        lo, hi = below(aim - reach).astype(np.uint8), below(aim + reach).astype(np.uint8)
+        place, inside = self.bytes
+        np.subtract(self.page, lo[:, None], out=place)  # wraps round below the window
+        np.less_equal(place, (hi - lo)[:, None], out=inside)
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best found vectors, but the query's own id."""
+        size = float(np.sqrt((q * q).sum()))
+        unit = size * self.top
+        aim = np.append(q / size, 0.0) @ self.axes
+        seen = self.ids == query_id
+        rough = np.full(len(self.ids), -np.inf)
+        k = min(k, len(seen) - int(seen.sum()))
+        rank = max(1, k * len(self.sample) // len(seen))
+        guess = np.partition(self.sample @ q, len(self.sample) - rank)[len(self.sample) - rank] / unit
+        radius = max(0.1, _FIRST * float(np.sqrt(max(0.0, 2 - 2 * guess))))
+        while k:
+            found = np.flatnonzero(~seen & (self.hits(aim, self.width * radius) >= self.need) if radius < 2 else ~seen)
             seen[found] = True
-            rough[found] = x[found] @ q[i]
+            rough[found] = self.x[found] @ q
+            self.verified += len(found)
             done = np.flatnonzero(rough > -np.inf)
-            if len(done) >= k_here and (not k_here or np.partition(rough[done], len(done) - k_here)[len(done) - k_here] >= unit * (1 - r * r / 2)):
+            if len(done) >= k and (radius >= 2 or np.partition(rough[done], len(done) - k)[len(done) - k] >= unit * (1 - radius * radius / 2)):
                 break
+            radius *= self.ratio
         done = np.flatnonzero(rough > -np.inf)
-        if len(done) > k_here > 0:
-            edge = np.partition(rough[done], len(done) - k_here)[len(done) - k_here]
+        if len(done) > k > 0:
+            edge = np.partition(rough[done], len(done) - k)[len(done) - k]
             done = done[rough[done] >= edge - 1e-9 * max(unit, 1e-300)]
-        score = exact_scores(x[done], q[i])
-        best = np.lexsort((ids[done], -score))[:k_here]
-        out.append((ids[done][best], score[best]))
-    return out
+        score = exact_scores(self.x[done], q)
+        best = np.lexsort((self.ids[done], -score))[:k]
+        return self.ids[done][best], score[best]
 
 
 def usable(col: str) -> Column:
@@ -95,7 +114,7 @@ def usable(col: str) -> Column:
     return x.isNotNull() & (F.size(x) > 0) & finite & F.exists(x, lambda v: v != 0)
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 16_384, query_rows: int = 4_096, **options) -> DataFrame:
+def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 16_384, query_rows: int = 8_192, **options) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found vectors of every query.
 
     Ties go to the smaller id. Rows with a null id, or a vector that is null, empty, zero or
@@ -124,7 +143,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
         dim = left.column("dim")[0].as_py()
         ids, x = table(left, dim)
         query_ids, q = table(right, dim)
-        found = search_block(ids, x, query_ids, q, k, **options)
+        block = Block(ids, x, **options)
+        found = [block.search(i, v, k) for i, v in zip(query_ids.tolist(), q, strict=True)]
         return pa.table({"query_id": pa.array(query_ids), "vec_id": pa.array([a.tolist() for a, _ in found], pa.list_(pa.int64())), "score": pa.array([s.tolist() for _, s in found], pa.list_(pa.float64()))})
 
     keys = ["dim", "block", "chunk"]
