@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,8 +19,17 @@ EMAIL_WORDS = [
 ]
 SYMBOLS = "\",:;'/-+&()!#$%*.|\\@`~^<>?[]{}_=\n"
 TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content"]
-#: Page names and domain endings taken out of addresses; two-letter endings by rule.
-URL_PARTS = r"home\.html|index\.html|home\.shtml|index\.shtml|.html|.shtml|\.com|\.asia|\.edu|\.gov|\.jobs|\.org|\.[a-z]{2}"
+# Page names taken out of addresses, domain endings besides the countries', and endings in use that the standard list of countries lacks.
+PAGES = r"home.html|index.html|home.shtml|index.shtml|.html|.shtml|\.com"
+ENDINGS = ["asia", "edu", "gov", "jobs", "org"]
+OTHER_COUNTRIES = ["ac", "an", "eu", "su", "tp", "uk"]
+
+
+@cache
+def url_parts() -> str:
+    """The pattern of page names and domain endings; country codes come from the standard list that Java carries."""
+    codes = [c.lower() for c in SparkContext._active_spark_context._jvm.java.util.Locale.getISOCountries()]
+    return PAGES + "".join(rf"|\.{e}" for e in sorted({*codes, *OTHER_COUNTRIES, *ENDINGS}))
 
 
 @cache
@@ -93,7 +103,7 @@ def canonical_url(c: Column) -> Column:
     """Without tracking parameters, scheme, "www.", final slash, page names and domain endings."""
     c = F.regexp_replace(F.trim(c), "[?&](?:" + "|".join(TRACKING) + ")=[^&#]*", "")
     c = F.regexp_replace(F.regexp_replace(c, "^(?i:http://)", ""), "^(?i:https://)", "")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"^www\.", ""), "/$", ""), URL_PARTS, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"^www\.", ""), "/$", ""), url_parts(), "")
 
 
 def strip_brackets(c: Column) -> Column:

@@ -1,10 +1,12 @@
 """Greedy agglomerative clustering of scored pairs, one connected component at a time.
 
 Pairs over the link threshold are scanned in descending score (ties by ids): a new
-pair opens a cluster, an unknown end joins the known one's. State flows only along such
-pairs, so components are independent. Clusters are numbered by the rank of the pair that
-opened them, then cluster pairs whose links satisfy the merge rule are merged in the
-order of their textual key "a_b", again within components of deciding pairs.
+pair opens a cluster, an unknown end joins the known one's if the score is over the group
+threshold too. State flows only along such pairs, so components are independent. Clusters
+are numbered by the rank of the pair that opened them. Then cluster pairs whose links
+satisfy the merge rule are merged in the order of their textual key "a_b"; or, by the
+simple rule, the pairs are scanned once more and clusters merged as links over the merge
+threshold come. Both again work within components of deciding pairs.
 """
 
 from __future__ import annotations
@@ -25,17 +27,30 @@ def best_pairs(scores: DataFrame) -> DataFrame:
     return scores.groupBy("placeId1", "placeId2").agg(F.max("prediction").alias("prediction"))
 
 
-def match(pairs: Iterable[tuple]) -> dict:
-    """(rank, a, b) in order to {id: rank of the pair that opened its cluster}."""
+def match(pairs: Iterable[tuple], group: float = float("-inf")) -> dict:
+    """(rank, a, b, score) in order to {id: rank of the pair that opened its cluster}; known clusters grow only by scores over ``group``."""
     of: dict = {}
-    for rank, a, b in pairs:
-        if a in of and b in of:
-            continue
-        home = of.get(a, of.get(b, rank))
-        of[a] = of[b] = home
+    for rank, a, b, score in pairs:
+        one, two = of.get(a), of.get(b)
+        if one is None and two is None:
+            of[a] = of[b] = rank
+        elif (one is None or two is None) and score > group:
+            of[a] = of[b] = two if one is None else one
     return of
 
 
+def merge_in_order(pairs: Iterable[tuple], sizes: dict[int, int], max_size: int) -> dict[int, int]:
+    """(cluster, cluster) of each pair by descending score to {cluster: cluster it ends up in}; the lesser number stays."""
+    sizes, to = dict(sizes), {c: c for c in sizes}
+    for a, b in pairs:
+        a, b = to[a], to[b]
+        if a != b and sizes[a] + sizes[b] <= max_size:
+            keep, gone = min(a, b), max(a, b)
+            sizes[keep], sizes[gone] = sizes[a] + sizes[b], 0
+            to = {c: keep if at == gone else at for c, at in to.items()}
+    return {c: at for c, at in to.items() if c != at}
+
+
 def merge(decisions: Iterable[tuple[int, int]], sizes: dict[int, int], max_size: int) -> dict[int, int]:
     """Cluster pairs in key order to {cluster: cluster it is merged into}, sizes checked again as they grow."""
     to: dict[int, int] = {}
@@ -50,19 +65,22 @@ def merge(decisions: Iterable[tuple[int, int]], sizes: dict[int, int], max_size:
     return moved
 
 
-def greedy_clusters(pairs: DataFrame, link: float = 0.9) -> DataFrame:
-    """``id, cluster`` of all ids in a pair with prediction over ``link``; clusters numbered from 0."""
+def greedy_clusters(pairs: DataFrame, link: float = 0.9, group: float = 0.9) -> DataFrame:
+    """``id, cluster`` of ids in pairs with prediction over ``link``; clusters numbered from 0.
+
+    An id joins a cluster that is already open only by a prediction over ``group``.
+    """
     strong = pairs.where(F.col("prediction") > link).select(F.col("placeId1").alias("a"), F.col("placeId2").alias("b"), (-F.col("prediction")).alias("down"))
     ranked = surrogate_ids(strong, ["down", "a", "b"], "rank")
-    ranked = cut(ranked.select("rank", "a", "b"))
-    group = components(ranked, "a", "b")
+    ranked = cut(ranked.select("rank", "a", "b", (-F.col("down")).alias("score")))
+    home = components(ranked, "a", "b")
     kind = dict(ranked.dtypes)["a"]
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        of = match(pdf.sort_values("rank")[["rank", "a", "b"]].itertuples(index=False, name=None))
+        of = match(pdf.sort_values("rank")[["rank", "a", "b", "score"]].itertuples(index=False, name=None), group)
         return pd.DataFrame({"id": list(of), "seed": list(of.values())})
 
-    seeds = ranked.join(group, ranked["a"] == group["node"]).groupBy("component").applyInPandas(scan, f"id {kind}, seed long")
+    seeds = ranked.join(home, ranked["a"] == home["node"]).groupBy("component").applyInPandas(scan, f"id {kind}, seed long")
     seeds = cut(seeds)
     numbers = surrogate_ids(seeds.select("seed").distinct(), ["seed"], "cluster")
     return seeds.join(numbers, "seed").select("id", "cluster")
@@ -75,15 +93,34 @@ def cluster_links(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
     return both.groupBy(F.least("x", "y").alias("c1"), F.greatest("x", "y").alias("c2")).agg(F.count("*").alias("links"), F.max("prediction").alias("best"), F.avg("prediction").alias("mean"))
 
 
-def merge_clusters(pairs: DataFrame, clusters: DataFrame, mean: float = 0.9, best: float = 0.95, max_size: int = 400, simple: float | None = None) -> DataFrame:
-    """Clusters merged where links decide so; with ``simple`` one link over that score decides."""
+def merge_clusters_simple(pairs: DataFrame, clusters: DataFrame, merge: float = 0.9, max_size: int = 300) -> DataFrame:
+    """Clusters merged by single links over ``merge``, in descending score, while both sizes add up to ``max_size`` at most."""
+    clusters = cut(clusters)
+    a, b = clusters.select(F.col("id").alias("placeId1"), F.col("cluster").alias("x")), clusters.select(F.col("id").alias("placeId2"), F.col("cluster").alias("y"))
+    links = cut(pairs.where(F.col("prediction") > merge).join(a, "placeId1").join(b, "placeId2").where("x <> y"))
+    size = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    for c in ("x", "y"):
+        links = links.join(size.select(F.col("cluster").alias(c), F.col("size").alias(f"size_{c}")), c)
+    home = components(links, "x", "y")
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["prediction", "placeId1", "placeId2"], ascending=[False, True, True])
+        sizes = dict(zip(pdf["x"], pdf["size_x"], strict=True)) | dict(zip(pdf["y"], pdf["size_y"], strict=True))
+        moved = merge_in_order(zip(pdf["x"], pdf["y"], strict=True), sizes, max_size)
+        return pd.DataFrame({"cluster": list(moved), "into": list(moved.values())}, dtype="int64")
+
+    moved = links.join(home, links["x"] == home["node"]).groupBy("component").applyInPandas(decide, "cluster long, into long")
+    return clusters.join(moved, "cluster", "left").select("id", F.coalesce("into", "cluster").alias("cluster"))
+
+
+def merge_clusters(pairs: DataFrame, clusters: DataFrame, mean: float = 0.9, best: float = 0.95, max_size: int = 400) -> DataFrame:
+    """Clusters merged where the number of links, their mean or their best decide so."""
     clusters = cut(clusters)
     size = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     s1, s2 = size.select(F.col("cluster").alias("c1"), F.col("size").alias("s1")), size.select(F.col("cluster").alias("c2"), F.col("size").alias("s2"))
     links = cluster_links(pairs, clusters).join(s1, "c1").join(s2, "c2").where(F.col("s1") + F.col("s2") <= max_size)
     strong = (F.col("best") > best) & (F.col("links") / F.least("s1", "s2") > 0.5)
-    rule = F.col("best") > simple if simple is not None else strong | ((F.col("mean") > mean) & (F.col("links") > 1))
-    deciding = cut(links.where(rule).select("c1", "c2", "s1", "s2"))
+    deciding = cut(links.where(strong | ((F.col("mean") > mean) & (F.col("links") > 1))).select("c1", "c2", "s1", "s2"))
     group = components(deciding, "c1", "c2")
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -96,10 +133,12 @@ def merge_clusters(pairs: DataFrame, clusters: DataFrame, mean: float = 0.9, bes
     return clusters.join(moved, "cluster", "left").select("id", F.coalesce("into", "cluster").alias("cluster"))
 
 
-def agglomerate(pairs: DataFrame, link: float = 0.9, mean: float = 0.9, best: float = 0.95, max_size: int = 400) -> DataFrame:
-    """Greedy clusters, then merging by mean and greatest score, or by one link if ``mean`` isn't positive."""
-    clusters = greedy_clusters(pairs, link)
-    return merge_clusters(pairs, clusters, mean, best, max_size, simple=link if mean <= 0 else None)
+def agglomerate(pairs: DataFrame, link: float = 0.9, mean: float = 0.9, best: float = 0.95, max_size: int = 400, group: float = 0.9) -> DataFrame:
+    """Greedy clusters, then merging by mean and greatest score, or by single links over ``best`` if ``mean`` isn't positive."""
+    clusters = greedy_clusters(pairs, link, group)
+    if mean <= 0:
+        return merge_clusters_simple(pairs.where(F.col("prediction") > link), clusters, best, max_size)
+    return merge_clusters(pairs, clusters, mean, best, max_size)
 
 
 def name_clusters(clusters: DataFrame) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomwork.session import cut
+
 
 def _hits(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "left_semi").agg(F.count("*").alias("hits"))
@@ -53,13 +56,27 @@ def threshold_sweep(df: DataFrame, truth: Column, score: Column, steps: int = 20
     return rows.withColumns(_rates()).select((F.col("k") / steps).alias("threshold"), "precision", "recall", "f1", "accuracy", F.col("recall").alias("tpr"), "fpr")
 
 
+def confusion_percent(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
+    """Counts of all four outcomes, each one's percentage of all rows, and the rates made from them."""
+    counts = confusion(df, truth, guess).withColumns(_rates())
+    total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return counts.withColumns({f"{c}_percent": F.try_divide(F.col(c) * 100.0, total) for c in ("tp", "fp", "fn", "tn")})
+
+
 def roc_auc(df: DataFrame, truth: Column, score: Column) -> DataFrame:
-    """Area under the curve by rank sums over distinct scores, ties by half."""
-    from pyspark.sql import Window as W
+    """Area under the curve by rank sums over distinct scores, ties by half.
 
+    Scores are dealt to ranges; a running sum within each range is shifted by what the
+    ranges below hold, of which the driver gets one number each.
+    """
     by = df.groupBy(score.alias("s")).agg(F.count_if(truth.cast("int") == 1).alias("p"), F.count_if(truth.cast("int") == 0).alias("n"))
-    below = F.sum("n").over(W.orderBy("s").rowsBetween(W.unboundedPreceding, -1))
-    return by.withColumn("below", F.coalesce(below, F.lit(0))).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
+    parts = cut(by.repartitionByRange("s").withColumn("_part", F.spark_partition_id()))
+    base, total = {}, 0
+    for row in parts.groupBy("_part").agg(F.sum("n").alias("n")).orderBy("_part").collect():
+        base[row["_part"]], total = total, total + row["n"]
+    shift = F.create_map(*[F.lit(x) for kv in base.items() for x in kv])[F.col("_part")] if base else F.lit(0)
+    below = F.sum("n").over(W.partitionBy("_part").orderBy("s").rowsBetween(W.unboundedPreceding, -1))
+    return parts.withColumn("below", F.coalesce(below, F.lit(0)) + shift).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
 
 
 def rule_crosstab(df: DataFrame, name: Column, brand: Column, near: Column) -> DataFrame:

@@ -87,17 +87,49 @@ def surrogate_ids(df: DataFrame, order: list[str], out: str = "Id") -> DataFrame
     return parts.withColumn(out, (shift + within - 1).cast("long")).drop("_part")
 
 
-def clean_places(df: DataFrame) -> DataFrame:
-    """The cleaning recipe, in its fixed order, over an exploded table."""
-    text = ["sourceNames", "streets", "cities", "email", "internet", "brands", "houseNumber", "postalCode", "locality", "officialName", "category", "subCategory"]
-    df = df.withColumns({c: F.lit(None).cast("string") for c in text if c not in df.columns})
-    df = df.withColumn("internet", C.canonical_url(C.strip_brackets(F.col("internet")))).withColumn("email", C.clean_email(C.canonical_url(C.strip_brackets(F.col("email")))))
-    flat = dict(df.dtypes)
-    df = df.withColumns({c: C.unique_tokens(C.clean_text(F.concat_ws(" ", c) if flat[c].startswith("array") else F.col(c).cast("string"))) for c in text})
+def map_categories(df: DataFrame, categories: DataFrame, sub_categories: DataFrame) -> DataFrame:
+    """``category`` (a list) becomes its commonest mapped entry, ``subCategory`` that by the other map; null if none is mapped.
+
+    ``categories``/``sub_categories``: key, value, as ``category_map`` makes them. One list's
+    entries are counted in its own row, so the table is shuffled by entry, never by list.
+    """
+    keyed = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    items = F.transform("category", lambda x: F.lower(x))
+    for mapping, out in ((categories, "_category"), (sub_categories, "_sub")):
+        keyed = keyed.join(mode_of_list(keyed.select("_row", "category"), ["_row"], items, mapping, out), "_row", "left")
+    rest = [c for c in df.columns if c not in ("category", "subCategory")]
+    return keyed.select(*rest, F.col("_category").alias("category"), F.col("_sub").alias("subCategory"))
+
+
+#: Text columns that are cleaned, and those of them whose repeated words go.
+TEXT = ["sourceNames", "brands", "houseNumber", "category", "streets", "cities", "postalCode", "subCategory", "email", "internet"]
+ONCE = ["brands", "subCategory", "sourceNames", "streets", "cities"]
+
+
+def clean_attributes(df: DataFrame) -> DataFrame:
+    """The cleaning recipe, in its fixed order, over an exploded table with mapped categories; rows without a name go."""
+    df = df.withColumns({c: F.lit(None).cast("string") for c in TEXT if c not in df.columns})
+    kinds = dict(df.dtypes)
+    df = df.withColumns({c: F.concat_ws(" ", c) if kinds[c].startswith("array") else F.col(c).cast("string") for c in TEXT})
+    df = df.withColumn("sourceNames", C.blank_to_null(F.trim("sourceNames"))).where("longitude is not null and sourceNames is not null").distinct()
+    df = df.withColumns({c: C.clean_email(C.canonical_url(C.strip_brackets(F.col(c)))) for c in ("internet", "email")})
+    df = df.withColumns({c: C.clean_text(F.nullif(F.col(c), F.lit("nan"))) for c in TEXT})
+    df = df.withColumns({c: C.unique_tokens(F.col(c)) for c in ONCE})
+    df = df.withColumn("subCategory", C.drop_unspecified(F.col("subCategory")))
     df = df.withColumns({"streets": C.clean_streets(F.col("streets")), "cities": C.clean_streets(F.col("cities")), "sourceNames": C.clean_name(F.col("sourceNames"))})
     df = df.withColumns({c: C.remove_words(F.col(c)) for c in ("sourceNames", "streets", "cities")})
-    df = df.withColumns({c: C.blank_to_null(F.col(c)) for c in text})
-    df = df.withColumn("subCategory", C.drop_unspecified(F.col("subCategory"))).withColumn("category", F.regexp_replace("category", "caf pub", "cafe pub"))
-    df = df.where("sourceNames is not null").distinct()
-    df = surrogate_ids(df, ["placeId", "sourceNames", "latitude", "longitude", "streets", "houseNumber"])
-    return df.select([c for c in KEEP if c in df.columns])
+    df = df.withColumns({c: C.blank_to_null(F.col(c)) for c, kind in df.dtypes if kind == "string"})
+    return df.where("sourceNames is not null").withColumn("category", F.regexp_replace("category", "caf pub", "cafe pub"))
+
+
+def keep_columns(df: DataFrame, columns: list[str] = KEEP) -> DataFrame:
+    """Only the columns on the list that the table has."""
+    return df.select([c for c in columns if c in df.columns])
+
+
+def clean_places(df: DataFrame, categories: DataFrame | None = None, sub_categories: DataFrame | None = None) -> DataFrame:
+    """Categories mapped (where maps are given), attributes cleaned, rows numbered, listed columns kept."""
+    if categories is not None:
+        df = map_categories(df, categories, categories if sub_categories is None else sub_categories)
+    df = surrogate_ids(clean_attributes(df), ["placeId", "sourceNames", "latitude", "longitude", "streets", "houseNumber"])
+    return keep_columns(df)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -31,12 +34,17 @@ def session(cpus: int | str = "*", shuffle_partitions: int | None = None, memory
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a local test) a temporary folder is made and set.
+    Only a local session that names none gets a temporary folder; on a cluster that is an
+    error, as a folder of one machine would lose data.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext.getCheckpointDir()
+    if not path and not current and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not path:
         path = current or tempfile.mkdtemp(prefix="loomwork-")
+        if not current:
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
     if not current:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

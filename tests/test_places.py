@@ -131,3 +131,96 @@ def test_raw_to_clusters(spark):
     assert pairs and all(set(p) <= {"p1", "p2"} for p in pairs)
     named = {r["placeId"]: r["clusterId"] for r in out["clusters"].collect()}
     assert named["p1"] == named["p2"] == named["p3"] and len({named[k] for k in ("p1", "p5", "p6")}) == 3
+
+
+@pytest.mark.parametrize(
+    ("f", "text", "want"),
+    [
+        (C.canonical_url, "http://www.cafe.example.net/x.pdf?utm_source=a", "cafe.examplet/x.pdf"), (C.canonical_url, "https://shop.jobs/", "shopbs"), (C.canonical_url, "a.asia", "aia"), (C.clean_email, "info shop gmail", "shop"),
+        (C.remove_words, "the store of the sea", "store sea"), (C.clean_text, "A.B, (C)\n\"d\"", "a b c d"), (C.clean_streets, "the str rd", "the street road"), (C.unique_tokens, "12 12", "12"), (C.strip_brackets, "[[a]b]", "a]b"),
+        (C.drop_unspecified, "unspecified kind", None),
+    ],
+)
+def test_cleaning_literals(spark, f, text, want):
+    assert one(spark, f, text) == want
+
+
+def test_countries_agree(spark):
+    """The pattern from Java's list of countries is the one from the time zone database's."""
+    from loomwork.plans.registry import _endings
+
+    assert set(C.url_parts().split("|")) == set(_endings().split("|"))
+
+
+def greedy(rows, link, group):
+    of, n = {}, 0
+    for a, b, p in sorted(rows, key=lambda r: (-r[2], r[0], r[1])):
+        if p <= link or (a in of and b in of):
+            continue
+        if a not in of and b not in of:
+            of[a] = of[b] = n
+            n += 1
+        elif p > group:
+            of.setdefault(a, of.get(b))
+            of.setdefault(b, of.get(a))
+    return of
+
+
+def simple(rows, link, merge, group, most):
+    """The greedy clusters, merged pair by pair in descending score."""
+    of = greedy(rows, link, group)
+    for a, b, p in sorted(rows, key=lambda r: (-r[2], r[0], r[1])):
+        if p > max(link, merge) and a in of and b in of and of[a] != of[b]:
+            keep, gone = sorted((of[a], of[b]))
+            if sum(c in (keep, gone) for c in of.values()) <= most:
+                of = {k: keep if c == gone else c for k, c in of.items()}
+    return of
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_simple_merging_equals_the_sequential_one(spark, seed):
+    r = random.Random(seed)
+    rows = list({tuple(sorted(r.sample(range(70), 2))): None for _ in range(200)})
+    rows = [(a, b, r.choice([0.5, 0.82, 0.85, 0.91, 0.93, 0.96, 0.99])) for a, b in rows]
+    table = spark.createDataFrame(rows, "placeId1 long, placeId2 long, prediction double")
+    got = {x["id"]: x["cluster"] for x in clustering.greedy_clusters(table, 0.8, 0.9).collect()}
+    assert got == greedy(rows, 0.8, 0.9)
+    got = {x["id"]: x["cluster"] for x in clustering.agglomerate(table, 0.8, 0.0, 0.9, 9, group=0.92).collect()}
+    assert got == simple(rows, 0.8, 0.9, 0.92, 9)
+
+
+def test_timer_and_log(tmp_path):
+    from loomwork.sources import io
+
+    log = io.log_helper("step", "TST", str(tmp_path))
+    with io.timer("cleaning", log) as took:
+        pass
+    assert took["seconds"] >= 0 and "cleaning: 0.0" in next(tmp_path.rglob("*.log")).read_text()
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from loomwork import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session)
+
+
+def test_name_encoder_and_models(spark):
+    """Names have vectors of their own, and saved ensembles can take the rules' place."""
+    from loomwork.operators import features, scoring
+
+    t = spark.createDataFrame([(1, "cafe blue"), (2, "cafe blue"), (3, None)], "Id long, sourceNames string")
+    v = {r["Id"]: r["vector"] for r in features.hashed_embedding(t, F.col("sourceNames")).collect()}
+    assert v[1] == v[2] != v[3] and abs(sum(x * x for x in v[1]) - 1) < 1e-5
+    model = {"base": 0.0, "trees": [{"feature": "Id", "below": 2, "left": 1.0, "right": {"feature": "Id", "below": 3, "left": 0.0, "right": -1.0}}]}
+    got = [r[0] for r in t.orderBy("Id").select(scoring.tree_score(model)).collect()]
+    assert got == pytest.approx([0.731059, 0.5, 0.268941], abs=1e-6)

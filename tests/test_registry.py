@@ -1,4 +1,4 @@
-"""Registered queries against DuckDB, at the smallest scale."""
+"""Registered queries against DuckDB, at a scale where none is empty."""
 
 import math
 import os
@@ -8,7 +8,7 @@ import pytest
 
 from loomwork.plans import registry
 
-DATA = "/root/testdata/sf0.001"
+DATA = "/root/testdata/sf0.01"
 
 
 def rows(df):
@@ -30,6 +30,13 @@ def test_against_sql(spark, duck, name):
     ours, theirs = registry.queries()[name](spark, DATA).toPandas(), duck.sql(registry.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert rows(ours) == rows(theirs)
+    assert len(ours)
+
+
+def test_entry_has_rows(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() > 0
 
 
 def test_entry_imports_without_llm():
