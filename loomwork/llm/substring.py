@@ -236,7 +236,14 @@ def repeats(docs: DataFrame, min_words: int = 20, similarity: float = 0.8, recal
     place (by doc_id, then word) is kept; spans: the word ranges "start:end" to remove,
     merged. Null and empty texts have no paragraphs; rows without doc_id are left out; rows
     that share a doc_id are one document, and equal texts among them repeat nothing; an empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored. Ties cannot occur: places differ.
+
+    What is found: every run of ``SPAN + BLOCK + 2`` (51) equal words that two documents
+    share, wherever it stands, and with the recall of the bands every pair of lines of
+    ``min_words`` words or more whose similarity reaches the threshold. What is not: lines
+    that are shorter, near copies of passages inside longer, otherwise different lines
+    (only their equal runs), and repeats within one document. A long text costs a small
+    multiple of its bytes, one of its lines a set of its shingles.
     """
     bands, rows = tune_bands(similarity, recall)
     slim = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -3,8 +3,11 @@
 Features are hashed words and word beginnings; which of them the model looks at is
 chosen by how often they occur in labelled toxic and in other documents. The labels are
 binary, so grades above 0 rank the labelled-toxic documents: 1 to 3 by the tertile of how
-many markers (features far likelier in toxic documents) they hold. One weight vector is
-shared by all thresholds: P(grade > j) = sigmoid(w.x - theta_j), theta ascending. The
+many markers (features far likelier in toxic documents) they hold. The labelled rows are
+dealt to two halves, and a document's markers are those that the other half shows: no
+document helps to grade itself, and the model is not taught its own choice of features.
+There is no outside measure of severity in the labels; a grade is a rank of evidence. One
+weight vector is shared by all thresholds: P(grade > j) = sigmoid(w.x - theta_j), theta ascending. The
 severity is the expected grade; a document is rejected if P(grade > 0) reaches one half.
 """
 
@@ -95,6 +98,12 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.theta, -40, 40)))
 
 
+def _log_odds(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How much likelier a feature is in toxic documents: columns other, toxic."""
+    size = np.maximum(1, size)
+    return np.log((counts[:, 1] + 0.3) / (size[1] + 0.6)) - np.log((counts[:, 0] + 0.3) / (size[0] + 0.6))
+
+
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, max_features: int = 8_192) -> OrdinalModel:
     """Fits on at most ``max_train`` labelled rows, the first by a hash of doc_id, with the ``max_features`` strongest features.
 
@@ -105,24 +114,25 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, max_featu
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select("label", "text")
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
+    sample = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select((F.col("label") + 2 * half).alias("label"), "text")
 
     def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
         for sub in pieces(batch, "text"):
             label = sub.column(0).to_numpy()
             pair = _features(sub.column(1))
             np.add.at(total, (pair % BINS, label[pair // BINS]), 1)
-            total[0, 2] += (label == 0).sum()
-            total[0, 3] += (label == 1).sum()
-
-    counts = dense_sum(sample, count, (BINS, 4))
-    size = np.maximum(1, counts[0, 2:])
-    odds = np.log((counts[:, 1] + 0.3) / (size[1] + 0.6)) - np.log((counts[:, 0] + 0.3) / (size[0] + 0.6))
-    seen = np.flatnonzero((counts[:, :2].sum(axis=1) >= 3) & (counts[:, 1] > 0) & (odds > 0.7))
-    strength = odds[seen] * np.sqrt(counts[seen, 1])
+            total[0, 4:] += np.bincount(label, minlength=4)
+
+    counts = dense_sum(sample, count, (BINS, 8))  # by label and half, and (first row) how many rows of each
+    counts, size = counts[:, :4], counts[0, 4:]
+    whole, rows_of = counts[:, :2] + counts[:, 2:], size[:2] + size[2:]
+    odds = _log_odds(whole, rows_of)
+    seen = np.flatnonzero((whole.sum(axis=1) >= 3) & (whole[:, 1] > 0) & (odds > 0.7))
+    strength = odds[seen] * np.sqrt(whole[seen, 1])
     bins = np.sort(seen[np.argsort(-strength, kind="stable")[:max_features]])
     model = OrdinalModel(bins)
-    marker = (odds[bins] > 2.5).astype(np.int64)
+    marker = np.stack([_log_odds(counts[bins, at : at + 2], size[at : at + 2]) > 2.5 for at in (2, 0)]).astype(np.int64)  # of the other half
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,15 +145,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, max_featu
     rows = map_arrow(sample, run, "label int, features binary").toArrow()
     label = rows.column("label").to_numpy()
     lists = [np.frombuffer(x, dtype=np.int32) for x in rows.column("features").to_pylist()]
-    if not len(bins) or len(set(label.tolist())) < 2:
+    if not len(bins) or len(set((label % 2).tolist())) < 2:
         return model
     order = sorted(range(len(lists)), key=lambda i: (label[i], lists[i].tobytes()))  # arrival order must not matter
     label, lists = label[order], [lists[i] for i in order]
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     feature = np.concatenate(lists).astype(np.int64)
-    held = np.bincount(row, marker[feature], minlength=len(lists))
-    tertiles = np.quantile(held[label == 1], [1 / 3, 2 / 3])
-    grade = np.where(label == 1, 1 + (held[:, None] > tertiles).sum(axis=1), 0)
+    held = np.bincount(row, marker[label[row] // 2, feature], minlength=len(lists))
+    tertiles = np.quantile(held[label % 2 == 1], [1 / 3, 2 / 3])
+    grade = np.where(label % 2 == 1, 1 + (held[:, None] > tertiles).sum(axis=1), 0)
     return model.fit(row, feature, grade)
 
 
