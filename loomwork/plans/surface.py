@@ -516,3 +516,70 @@ def named_clusters(spark, d):
 @_query("SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25")
 def top_rows(spark, d):
     return read(spark, d, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").limit(25)
+
+
+# the whole feature table: distinct pairs of values are scored once, as in the operator's own design
+
+_SCORED_TEXTS = {"name": ("a.name", "b.name"), "street": ("a.street", "b.street"), "url": ("a.url", "b.url"), "brands": ("a.brand", "b.brand"), "subcat": ("a.kind", "b.kind")}
+_MORE = """more AS (SELECT c_custkey AS id, 'main str ' || (c_custkey % 11) AS street, CASE WHEN c_custkey % 2 <> 0 THEN 'shop' || (c_custkey % 13) END AS url, CASE WHEN c_custkey % 4 <> 0 THEN 'kind ' || (c_custkey % 6) END AS kind, lpad((c_custkey * 7919)::VARCHAR, 10, '0') AS phone FROM customer),
+  full_place AS (SELECT * FROM place JOIN more USING (id))"""
+_VALUES = " UNION ".join(f"SELECT {a} AS x, {b} AS y FROM pl" for a, b in (("n1", "n2"), ("s1", "s2"), ("u1", "u2"), ("b1", "b2"), ("k1", "k2")))
+_FEATURE_CTE = f"""WITH {_PLACES}, {_HOUSE}, {_MORE}, pl AS (SELECT l, r, lp, rp, a.name AS n1, b.name AS n2, a.street AS s1, b.street AS s2, a.url AS u1, b.url AS u2, a.brand AS b1, b.brand AS b2, a.kind AS k1, b.kind AS k2, a.phone AS p1, b.phone AS p2,
+    a.house AS h1, b.house AS h2, a.category AS c1, b.category AS c2, a.label AS l1, b.label AS l2, {_KM} AS km FROM house JOIN full_place a ON a.id = l JOIN full_place b ON b.id = r),
+  vals AS (SELECT x, y, list_distinct(string_split(x, ' ')) AS p, list_distinct(string_split(y, ' ')) AS q FROM ({_VALUES}) WHERE x IS NOT NULL AND y IS NOT NULL),
+  cuts AS (SELECT *, array_to_string(list_sort(list_intersect(p, q)), ' ') AS c, array_to_string(list_sort(list_filter(p, lambda v: NOT list_contains(q, v))), ' ') AS a, array_to_string(list_sort(list_filter(q, lambda v: NOT list_contains(p, v))), ' ') AS b,
+    array_to_string(list_sort(string_split(x, ' ')), ' ') AS sx, array_to_string(list_sort(string_split(y, ' ')), ' ') AS sy, list_distinct([substr(x, g, 2) for g in range(1, length(x))]) AS gx, list_distinct([substr(y, g, 2) for g in range(1, length(y))]) AS gy FROM vals),
+  sums AS (SELECT *, trim(c || ' ' || a) AS ca, trim(c || ' ' || b) AS cb, ({_SOFT.replace('P', 'p').replace('Q', 'q')} + {_SOFT.replace('P', 'q').replace('Q', 'p')}) / 2 AS soft, greatest(length(x), length(y)) / least(length(x), length(y)) AS longer FROM cuts),
+  sc AS (SELECT x, y, (jaro_winkler_similarity(sx, sy) + soft / (len(p) + len(q) - soft)) / 2 AS davies, 1 - damerau_levenshtein(x, y) / greatest(length(x), length(y)) AS leven, jaro_similarity(x, y) AS jaro, 2.0 * len(list_intersect(gx, gy)) / (len(gx) + len(gy)) AS dice, {_ratio_sql('x', 'y')} AS ratio, {_SET_RATIO} AS set_ratio,
+    CASE WHEN longer < 1.5 THEN greatest({_ratio_sql('x', 'y')}, 0.95 * greatest({_ratio_sql('sx', 'sy')}, {_SET_RATIO})) ELSE greatest({_ratio_sql('x', 'y')}, (CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END) * {_partial_sql('x', 'y')},
+      0.95 * (CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END) * CASE WHEN c <> '' THEN 1.0 ELSE greatest({_partial_sql('sx', 'sy')}, {_partial_sql('a', 'b')}) END) END AS wratio FROM sums),
+  ph AS (SELECT p1, p2, {lcs_sql('p1', 'p2')} / 10.0 AS best FROM (SELECT DISTINCT p1, p2 FROM pl))"""
+_JOINED = " ".join(f"LEFT JOIN sc {t} ON {t}.x = {v}1 AND {t}.y = {v}2" for t, v in (("nm", "n"), ("st", "s"), ("ur", "u"), ("br", "b"), ("kd", "k"))) + " LEFT JOIN ph USING (p1, p2)"
+_NUMBERS = {
+    "haversine": "km", "name_davies": "nm.davies", "name_leven": "nm.leven", "name_dice": "nm.dice", "name_jaro": "nm.jaro", "name_set_ratio": "nm.set_ratio", "street_davies": "st.davies", "street_leven": "st.leven", "street_jaro": "st.jaro",
+    "email_davies": "-1", "email_leven": "-1", "email_jaro": "-1", "url_davies": "ur.davies", "url_leven": "ur.leven", "url_jaro": "ur.jaro", "brands_davies": "br.davies", "brand_leven": "br.leven", "brand_jaro": "br.jaro", "phone_lcs": "best",
+    "subcat_WRatio": "kd.wratio", "subcat_ratio": "kd.ratio", "subcat_token_set_ratio": "kd.set_ratio",
+}
+_FIRST = "regexp_extract({}, '(\\d+)', 1)"
+_CODES = {
+    "Is_direction_match": "1", "Is_house_match": "CASE WHEN h1 = h2 THEN 1 ELSE 0 END", "Is_category_match": "CASE WHEN c1 = c2 THEN 1 ELSE 0 END", "Is_subcategory_match": "CASE WHEN k1 IS NULL OR k2 IS NULL THEN 2 WHEN k1 = k2 OR kd.set_ratio::FLOAT >= 0.8 THEN 1 ELSE 0 END",
+    "Is_brand_match": "CASE WHEN b1 IS NULL AND b2 IS NULL THEN 3 WHEN b1 IS NULL OR b2 IS NULL THEN 2 WHEN b1 = b2 OR br.set_ratio::FLOAT >= 0.8 THEN 1 ELSE 0 END", "Is_related_cat": "CASE WHEN c1 = c2 THEN 1 ELSE 0 END",
+    "Is_name_number_match": f"CASE WHEN {_FIRST.format('n1')} = {_FIRST.format('n2')} THEN 1 ELSE 0 END", "is_phone_match": "CASE WHEN best >= 0.8 THEN 1 WHEN best >= 0.5 THEN 2 ELSE 3 END", "Is_email_match": "2",
+    "Is_url_match": "CASE WHEN u1 IS NULL OR u2 IS NULL THEN 2 WHEN u1 = u2 OR ur.set_ratio::FLOAT >= 0.8 OR ur.wratio::FLOAT >= 0.9 THEN 1 ELSE 0 END",
+}
+_HOT = ", ".join(f"CAST(({_CODES[name]}) = {k} AS INT) AS \"{name}_{k}\"" for name, domain in features.DOMAINS.items() for k in domain)
+
+
+@_query(f"{_FEATURE_CTE} SELECT l AS ltable_id, r AS rtable_id, lp AS \"placeId1\", rp AS \"placeId2\", {', '.join(f'round(coalesce({v}, -1), 4) AS \"{k}\"' for k, v in _NUMBERS.items())}, {_HOT}, 'TST' AS country, CAST(l1 = l2 AS INT) AS duplicate_flag FROM pl {_JOINED}")
+def feature_table(spark, d):
+    view = place_view(spark, d)
+    table = features.pair_features(pairs.block_house(view), view, "TST")
+    return table.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in features.NUMERIC})
+
+
+_FLOATS = ", ".join(f'CAST(coalesce({v}, -1) AS FLOAT) AS "{k}"' for k, v in _NUMBERS.items())
+_sql["pair_features"] = f"{_FEATURE_CTE} SELECT l AS ltable_id, r AS rtable_id, lp AS \"placeId1\", rp AS \"placeId2\", {_FLOATS}, {_HOT}, 'TST' AS country, CAST(l1 = l2 AS INT) AS duplicate_flag FROM pl {_JOINED}"
+_sql["unanimous_votes"] = f"""{_FEATURE_CTE}, ft AS (SELECT l, r, {_FLOATS}, {_HOT} FROM pl {_JOINED}),
+  zs AS (SELECT *, exp(-haversine::DOUBLE * 4) AS near, (greatest(name_jaro::DOUBLE, 0) + greatest(name_set_ratio::DOUBLE, 0) + greatest(name_davies::DOUBLE, 0)) / 3 AS nm,
+    "Is_house_match_1" + "is_phone_match_1" + "Is_url_match_1" AS same, "Is_house_match_0" + "Is_brand_match_0" + "Is_direction_match_0" AS clash FROM ft),
+  ps AS (SELECT l, r, (1 / (1 + exp(-(10 * nm + 2 * near + 0.8 * same - 1.5 * clash - 9))) + 1 / (1 + exp(-(9 * greatest(name_dice::DOUBLE, 0) + 2 * near + same - 1.5 * clash - 7)))) / 2 AS lgb,
+    1 / (1 + exp(-(11 * greatest(name_set_ratio::DOUBLE, 0) + 2 * near + same - 2 * clash - 9.5))) AS xgb, 1 / (1 + exp(-(11 * greatest(name_leven::DOUBLE, 0) + 2 * near + same - clash - 8.5))) AS cat FROM zs)
+  SELECT l AS ltable_id, r AS rtable_id FROM ps WHERE lgb > 0.5 AND xgb > 0.5 AND cat > 0.5"""
+
+_WRATIO = f"""CASE WHEN longer < 1.5 THEN greatest(plain, 0.95 * greatest({_ratio_sql('sx', 'sy')}, {_SET_RATIO})) ELSE greatest(plain, (CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END) * {_partial_sql('x', 'y')},
+  0.95 * (CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END) * CASE WHEN c <> '' THEN 1.0 ELSE greatest({_partial_sql('sx', 'sy')}, {_partial_sql('a', 'b')}) END) END"""
+_sql["token_ratios"] = f"""{_TOKENS}, z AS (SELECT *, {_ratio_sql('x', 'y')} AS plain, greatest(length(x), length(y)) / least(length(x), length(y)) AS longer FROM v)
+  SELECT l, r, round({lcs_sql('x', 'y')} / least(length(x), length(y)), 6) AS lcs, round(plain, 6) AS ratio, round(plain, 6) AS qratio, round({_SET_RATIO}, 6) AS token_set_ratio, round({_WRATIO}, 6) AS wratio FROM z"""
+
+
+def _soundex_sql(x: str) -> str:
+    codes = f"translate(upper({x}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ ', '012301270224550126230172020')"
+    runs = f"left({codes}, 1) || replace(substr({codes}, 2), '7', '')"
+    for k in range(1, 7):
+        runs = f"regexp_replace({runs}, '{k}+', '{k}', 'g')"
+    return f"upper(left({x}, 1)) || rpad(left(replace(substr({runs}, 2), '0', ''), 3), 3, '0')"
+
+
+@_query(f"WITH {_NAMES} SELECT l, r, {_soundex_sql('x')} AS code, round(jaro_similarity({_soundex_sql('x')}, {_soundex_sql('y')}), 6) AS soundex_jaro FROM pr")
+def soundex_scores(spark, d):
+    return _name_pairs(spark, d).select("l", "r", F.soundex("x").alias("code"), F.round(udfs()["jaro"](F.soundex("x"), F.soundex("y")), 6).alias("soundex_jaro"))
