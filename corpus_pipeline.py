@@ -46,12 +46,20 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Trained models, XXH64 fingerprints and tokenizers are beyond SQL; tests hold run() against brute force.
+#: Trained models, XXH64 fingerprints and tokenizers are beyond SQL; a test holds every stage against a brute-force version at a small scale.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to documents."""
+    """All stages, applied to documents; each result is written and read again.
+
+    Rows are judged by their own text, so null and repeated doc_ids lose nothing but what
+    their texts deserve: null and empty texts have no features, spans or items, and all of
+    them are near copies of each other, so one stays. Repeated rows are near copies too. An
+    empty table passes through all stages to no sequences; other columns are kept up to
+    the last stage. Ties: the smallest doc_id of a group stays; packing goes by length, then
+    doc_id and piece.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
