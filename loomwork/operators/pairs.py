@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.cleaning import cell
 from loomwork.functions.kernels import udfs
 from loomwork.functions.similarity import haversine
+from loomwork.session import cut
 
 IDS = ["ltable_id", "rtable_id"]
 
@@ -48,15 +49,29 @@ def _grid(df: DataFrame, lat: int, lon: int) -> DataFrame:
     return df.withColumns({"cy": cell(F.col("latitude"), lat), "cx": cell(F.col("longitude"), lon)}).where("cy is not null and cx is not null")
 
 
+def _ranked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``_r``, the place from 1 of each row among those of its keys, in order.
+
+    Rows are dealt to ranges of (keys, order), so a crowded key is spread over many tasks;
+    each ranks its own part, shifted by the rows of the same key in the parts before.
+    ``order`` must tell rows apart.
+    """
+    parts = cut(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    before = F.sum("n").over(W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    shift = parts.groupBy(*keys, "_part").agg(F.count("*").alias("n")).select(*keys, "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = parts.withColumn("_r", F.row_number().over(W.partitionBy(*keys, "_part").orderBy(*order)))
+    return within.join(shift, [*keys, "_part"]).withColumn("_r", (F.col("_r") + F.col("_before")).cast("long")).drop("_part", "_before")
+
+
 def _window_join(df: DataFrame, keys: list[str], order: list[str], reach: int, condition: Column | None = None, columns: list[str] | None = None) -> DataFrame:
     """Pairs of rows of one key at most ``reach`` places apart in order, by buckets of ``reach`` places.
 
     Each row meets its own bucket and the next one, so a crowded cell costs rows x reach,
-    not rows squared, and its buckets are spread over tasks.
+    not rows squared, and its ranks and buckets are spread over tasks.
     """
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    rows = df.withColumn("_r", rank).withColumn("_b", F.floor(F.col("_r") / reach))
     columns = columns or []
+    rows = _ranked(df.select("Id", *dict.fromkeys([*keys, *columns, *[c for c in order if c != "Id"]])), keys, order)
+    rows = rows.withColumn("_b", F.floor(F.col("_r") / reach))
     a = rows.select(*keys, F.col("Id").alias("ltable_id"), F.col("_r").alias("_r1"), F.explode(F.array("_b", F.col("_b") + 1)).alias("_b"), *[F.col(c).alias(f"{c}1") for c in columns])
     b = rows.select(*keys, F.col("Id").alias("rtable_id"), F.col("_r").alias("_r2"), "_b", *[F.col(c).alias(f"{c}2") for c in columns])
     out = a.join(b, [*keys, "_b"]).where((F.col("_r2") > F.col("_r1")) & (F.col("_r2") - F.col("_r1") <= reach))

@@ -224,3 +224,16 @@ def test_name_encoder_and_models(spark):
     model = {"base": 0.0, "trees": [{"feature": "Id", "below": 2, "left": 1.0, "right": {"feature": "Id", "below": 3, "left": 0.0, "right": -1.0}}]}
     got = [r[0] for r in t.orderBy("Id").select(scoring.tree_score(model)).collect()]
     assert got == pytest.approx([0.731059, 0.5, 0.268941], abs=1e-6)
+
+
+def test_ranks_over_many_parts(spark):
+    """One crowded key over several ranges, and small ones beside it."""
+    from loomwork.operators.pairs import _ranked
+
+    rows = spark.range(3000).select(F.when(F.col("id") < 2900, 0).otherwise(F.col("id")).cast("int").alias("k"), ((F.col("id") * 7919) % 3001).alias("o"), F.col("id").alias("Id"))
+    got = _ranked(rows.repartition(5), ["k"], ["o", "Id"])
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["k"], r["o"], r["Id"])):
+        want[r["Id"]] = want[r["k"], "n"] = want.get((r["k"], "n"), 0) + 1
+    ranks = {r["Id"]: r["_r"] for r in got.collect()}
+    assert ranks == {i: n for i, n in want.items() if not isinstance(i, tuple)}
