@@ -30,6 +30,32 @@ def place_stats(cand: DataFrame, gold: DataFrame) -> DataFrame:
     return sizes.select("candidates", F.try_divide("hits", "candidates").alias("precision"), F.try_divide("hits", "golden").alias("recall"))
 
 
+def marked_blocking_stats(cand: DataFrame, golden: Column, gold: DataFrame, entities: DataFrame) -> DataFrame:
+    """``blocking_stats`` where both sides are distinct and ``golden`` tells of a candidate whether it is among ``gold``: pairs are only counted."""
+    hits = cand.agg(F.count("*").alias("candidate_set_length"), F.count_if(golden).alias("hits"))
+    sizes = hits.crossJoin(gold.agg(F.count("*").alias("golden"))).crossJoin(entities.agg(F.count("*").alias("entities")))
+    return sizes.select("candidate_set_length", F.try_divide("candidate_set_length", "entities").alias("pair_entity_ratio"), F.try_divide("hits", "candidate_set_length").alias("precision"), F.try_divide("hits", "golden").alias("recall"))
+
+
+def marked_place_stats(cand: DataFrame, golden: Column, gold: DataFrame) -> DataFrame:
+    """``place_stats`` of distinct pairs of ids, which carry ``solo`` of both ends (the place has one row) and tell golden ones.
+
+    Pairs of two such places can't come twice and are only counted; the rest is made distinct and joined.
+    """
+    keys = ["placeId1", "placeId2"]
+    rest = lambda d: d.where("not solo1").select(*keys).unionByName(d.where("solo1 and not solo2").select(*keys)).distinct()
+    c, g = rest(cand), rest(gold)
+    parts = [
+        cand.where("solo1 and solo2").agg(F.count("*").alias("c1"), F.count_if(golden).alias("h1")), gold.where("solo1 and solo2").agg(F.count("*").alias("g1")),
+        c.agg(F.count("*").alias("c2")), g.agg(F.count("*").alias("g2")), _hits(c, g, keys).withColumnRenamed("hits", "h2"),
+    ]
+    sizes = parts[0]
+    for p in parts[1:]:
+        sizes = sizes.crossJoin(p)
+    sizes = sizes.select(F.expr("c1 + c2").alias("candidates"), F.expr("g1 + g2").alias("golden"), F.expr("h1 + h2").alias("hits"))
+    return sizes.select("candidates", F.try_divide("hits", "candidates").alias("precision"), F.try_divide("hits", "golden").alias("recall"))
+
+
 def confusion(df: DataFrame, truth: Column, guess: Column, *by: Column) -> DataFrame:
     t, g = truth.cast("int"), guess.cast("int")
     return df.groupBy(*by).agg(F.count_if((t == 1) & (g == 1)).alias("tp"), F.count_if((t == 0) & (g == 1)).alias("fp"), F.count_if((t == 1) & (g == 0)).alias("fn"), F.count_if((t == 0) & (g == 0)).alias("tn"))

@@ -10,12 +10,12 @@ ROWS = 1_010
 
 @pytest.fixture(scope="module")
 def crowded(tmp_path_factory):
-    """Customers of one house block, more than a window of 999 rows spans, some near ones, and two vectors."""
+    """Customers of one house block, more than a window of 999 rows spans and of two labels, and three vectors."""
     at = tmp_path_factory.mktemp("crowded")
     con = duckdb.connect()
     con.sql(f"""copy (select k as c_custkey, 'Customer#' || k as c_name, (k % 3)::int as c_nationkey, 0.5::double as c_acctbal, ['FURNITURE', 'MACHINERY'][(k % 2 + 1)::int] as c_mktsegment
-        from (select i * 700 as k from range({ROWS}) t(i) union all select i * 350 + 7 from range(6) t(i))) to '{at}/customer.parquet'""")
-    con.sql(f"copy (select (i * 700)::bigint as vec_id, [1.0::float, i::float] as embedding from range(3) t(i)) to '{at}/embeddings.parquet'")
+        from (select i * 700 + 2 as k from range({ROWS}) t(i) union all select i * 700 + 345 from range(6) t(i))) to '{at}/customer.parquet'""")
+    con.sql(f"copy (select (i * 700 + 2)::bigint as vec_id, [1.0::float, i::float] as embedding from range(3) t(i)) to '{at}/embeddings.parquet'")
     for t in ("customer", "embeddings"):
         con.sql(f"create view {t} as from '{at}/{t}.parquet'")
     return str(at), con
@@ -53,3 +53,15 @@ def test_pairs_of_any_keys_come_once(spark):
 
     df = spark.createDataFrame([(1, "x", "p"), (2, "x", "p"), (3, "y", "p"), (4, "y", None), (5, None, None)], "id long, k string, m string")
     assert sorted(tuple(r) for r in pairs_in_any_groups(df, [["k"], ["m"]], "id", ["m"]).select("ltable_id", "rtable_id").collect()) == [(1, 2), (1, 3), (2, 3), (3, 4)]
+
+
+def test_marked_stats_of_places_with_several_rows(spark):
+    """The same figures as by joining, where places repeat."""
+    from loomwork.operators import metrics, pairs
+
+    rows = [(i, f"p{i % 9}", f"c{i % 4}", "1", 52.1, 4.1) for i in range(14)] + [(20, "q", "c1", "1", 52.1, 4.1), (21, "r", None, "1", 52.1, 4.1), (22, "s", "c2", None, 52.1, 4.1)]
+    view = pairs.mark_solo(spark.createDataFrame(rows, "Id long, placeId string, clusterId string, houseNumber string, latitude double, longitude double"))
+    cand = pairs.whole_house_block(view, ["clusterId", "placeId", "solo"]).where("placeId1 <> placeId2")
+    gold = pairs.golden_pairs(view, ["solo"])
+    assert metrics.marked_place_stats(cand, pairs.is_golden(), gold).collect() == metrics.place_stats(cand, gold).collect()
+    assert metrics.marked_blocking_stats(cand, pairs.is_golden(), gold, view).collect() == metrics.blocking_stats(cand, gold, view).collect()
