@@ -105,8 +105,9 @@ def roc_auc(df: DataFrame, truth: Column, score: Column) -> DataFrame:
     return parts.withColumn("below", F.coalesce(below, F.lit(0)) + shift).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p") * F.sum("n")).alias("auc"))
 
 
-def rule_crosstab(df: DataFrame, name: Column, brand: Column, near: Column) -> DataFrame:
-    """Pairs by which rules hold, and their percentage of those for which all hold."""
-    counts = df.groupBy(name.alias("name_match"), brand.alias("brand_match"), near.alias("distance_match")).agg(F.count("*").alias("pairs"))
+def rule_crosstab(df: DataFrame, name: Column, brand: Column, near: Column, pairs: Column | None = None) -> DataFrame:
+    """Pairs by which rules hold, and their percentage of those for which all hold; ``pairs``: how many pairs a row stands for."""
+    number = F.count("*") if pairs is None else F.sum(pairs)
+    counts = df.groupBy(name.alias("name_match"), brand.alias("brand_match"), near.alias("distance_match")).agg(number.alias("pairs"))
     whole = counts.where("name_match and brand_match and distance_match").agg(F.max("pairs").alias("whole"))
     return counts.crossJoin(whole).select("name_match", "brand_match", "distance_match", "pairs", (F.col("pairs") * 100.0 / F.col("whole")).alias("percent"))
