@@ -32,7 +32,7 @@ def same_as_sql(spark, crowded, name, tmp_path):
     assert con.sql(f"select count(*) from (select {cols} from want except all from got)").fetchall() == [(0,)]
 
 
-@pytest.mark.parametrize("name", ["grid_block_house", "haversine", "match_codes", "rule_crosstab", "combine_blocks_1km", "extra_pairs", "missed_pairs", "blocking_stats", "place_stats"])
+@pytest.mark.parametrize("name", ["grid_block_house", "haversine", "match_codes", "rule_crosstab", "combine_blocks_1km", "extra_pairs", "missed_pairs", "blocking_stats", "place_stats", "joined_features"])
 def test_crowded_block_equals_sql(spark, crowded, tmp_path, name):
     same_as_sql(spark, crowded, name, tmp_path)
 
@@ -95,3 +95,11 @@ def test_merging_long_chains_in_order():
 
     n = 20_000
     assert merge_in_order(((i, i + 1) for i in reversed(range(n))), dict.fromkeys(range(n + 1), 1), n + 1) == dict.fromkeys(range(1, n + 1), 0)
+
+
+@pytest.mark.parametrize("name", ["pair_features", "feature_table", "unanimous_votes", "ensemble_score"])
+def test_pairs_are_joined_with_nothing(spark, crowded, name):
+    """The attributes come along with the rows: once pairs are made, they meet no exchange."""
+    df = registry.queries()[name](spark, crowded[0])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_many1" in plan and plan.index("Union") < plan.index("Join")
