@@ -145,3 +145,37 @@ def test_first_pairs_cluster_as_all_pairs(spark, room):
     got = clustering.greedy_clusters(spark.createDataFrame([*rows, ("p1", "p2", float("nan")), (None, "p3", 0.99)], "placeId1 string, placeId2 string, prediction double"), 0.9, 0.9)
     number = {v: i for i, v in enumerate(sorted(set(of.values())))}
     assert {x["id"]: x["cluster"] for x in got.select("id", F.col("cluster").cast("int")).collect()} == {k: number[v] for k, v in of.items()}
+
+
+def test_block_features_equal_those_of_each_pair(spark):
+    """Tile by tile the same rows as pair by pair, vectors and ids in several groups included."""
+    from pyspark.sql import functions as F
+
+    from loomwork.operators import features, pairs
+
+    view = registry.place_view(spark, "/root/testdata/sf0.01").where("Id < 700")
+    view = view.withColumn("phoneNumbers", F.expr("case when Id % 5 = 0 then null when Id % 5 = 1 then array() when Id % 5 = 2 then array_repeat(phoneNumbers[0], 2) else array(phoneNumbers[0], '12345', null) end"))
+    view = view.join(features.hashed_embedding(view, F.col("sourceNames")).where("Id % 4 > 0"), "Id", "left")
+    view = features.prepare(view.withColumn("k", F.explode(F.array(F.col("Id") % 40, F.when(F.col("Id") % 3 == 0, F.col("Id") % 10)))))
+    one = features.block_features(view, ["k"], "TST", vectors=True)
+    both = pairs.pairs_in_groups(view, ["k"], "Id", [*features.ATTRS, *features.MADE, "vector"])
+    two = features.carried_features(both, "TST", keep=[features.similarity().alias("similarity")])
+    got, want = (df.select(sorted(df.columns)).toPandas().sort_values(["ltable_id", "rtable_id"], ignore_index=True) for df in (one, two))
+    assert len(want) > 1_000 and got.equals(want)
+
+
+def test_scores_in_bulk_equal_those_one_by_one():
+    import random
+
+    import pandas as pd
+
+    from loomwork.functions import kernels as K
+
+    r = random.Random(1)
+    text = lambda n: "".join(r.choice("0123456789") for _ in range(r.randrange(n)))
+    for n in (1, 11, 16, 17, 33, 64, 65, 90):
+        a, b = [text(n) for _ in range(9)], [text(r.choice((n, 150))) for _ in range(140)]
+        assert K.lcs_lengths(a, b).tolist() == [[K.lcs_length(x, y) for y in b] for x in a]
+    a, b = ([r.choice([None, [], [text(12)], [text(12), None, text(70)]]) for _ in range(20)] for _ in range(2))
+    codes, values = K.best_phones(a, b)
+    assert values[codes].tolist() == [x for p in a for x in K._best_phone(pd.Series([p] * len(b), dtype=object), pd.Series(b, dtype=object))]
